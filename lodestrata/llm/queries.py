@@ -3,16 +3,61 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontaminate, quality, secrets, simhash, topk
 from .common import table
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.scaled(table(spark, sf_dir, "embeddings"))
+    found = topk.top_k(vectors.where(F.col("id") % 20 == 0), vectors, k=20)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), width=4, budget=4)
     return groups.select("doc_id", simhash.hex64("fp").alias("fingerprint"), "component_id")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(docs))
+    base = F.filter("spans", lambda s: s["kind"] != secrets.KINDS[3])
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(k) for k in secrets.KINDS[:3]),
+        F.sha2(secrets.as_string(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.as_string(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
 QUERIES = {
+    "op1_exact_top_k": op1_exact_top_k,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_secret_scan": op4_secret_scan,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op10_decontamination": op10_decontamination,
 }

@@ -2,4 +2,54 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_exact_top_k": """
+with usable as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+  from usable q join usable c on q.vec_id <> c.vec_id
+  where q.vec_id % 20 = 0
+)
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+where rank <= 20
+""",
+    "op10_decontamination": """
+with doc_words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+),
+item_words as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from benchmark
+),
+windows as (
+  select distinct item_id, least(len(w), 13) as size, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') as s
+  from (select item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) as i from item_words where len(w) > 0)
+),
+sizes as (select distinct size from windows),
+found as (
+  select d.doc_id, d.i, x.size, x.item_id
+  from (
+    select doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') as s
+    from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i from doc_words, sizes where len(w) >= size)
+  ) d join windows x on d.s = x.s and d.size = x.size
+),
+hits as (
+  select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + size)) as p from (select distinct doc_id, i, size from found)) group by doc_id
+),
+items as (
+  select doc_id, count(*) as n, string_agg(item, ',' order by item) as names
+  from (select distinct doc_id, item_id::varchar as item from found) group by doc_id
+)
+select d.doc_id, len(w)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit, coalesce(i.n, 0)::bigint as n_items,
+  sha256(coalesce(i.names, '')) as items_sha256,
+  coalesce(h.n, 0) > 0 and 20 * coalesce(h.n, 0) >= len(w) as contaminated
+from doc_words d left join hits h on d.doc_id = h.doc_id left join items i on d.doc_id = i.doc_id
+""",
+}
