@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, rows_of, sliced
+from .common import as_bytes, sliced
 
 WINDOW = 13
 #: Windows that one broadcast holds at most; a larger benchmark is searched for in several passes.
@@ -100,28 +100,23 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def overlaps(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most: int = PASS_WINDOWS) -> DataFrame:
-    """``(id, n_words, spans, items)`` of every row of ``docs``.
-
-    ``spans`` are the maximal runs of words, end exclusive, inside occurrences
-    of item windows; ``items`` the sorted names of items that have one. Null
-    and empty texts have no words. Items without words or without a name are
-    passed over, items with the same name count as one, and without items no
-    word is hit. Rows are handled one by one: repeated rows, null ids and other
-    columns make no difference.
-    """
+def _annotated(docs: DataFrame, items: DataFrame, names: tuple[str, str, str], size: int, text_col: str, item_col: str, item_text: str, most: int) -> DataFrame:
+    """``docs`` and, under ``names``, the number of words, the spans and the items of each row."""
     sc = docs.sparkSession.sparkContext
     named = items.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string"), as_bytes(item_text))
     tables = [sc.broadcast(WuManber(p)) for p in _passes(named, size, most)] or [sc.broadcast(WuManber({}))]
-    schema = T.StructType([docs.schema[id_col], T.StructField("n_words", T.LongType()), T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("t", T.BinaryType())])
+    added = list(zip(names, (T.LongType(), SPANS, T.ArrayType(T.StringType())), strict=True))
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in added)])
+    at, own = docs.columns.index(text_col), len(docs.columns)
 
-    def step(table, first):
+    def step(table):
         def run(batches):
             for batch in sliced(batches):
-                counts, spans, names = [], [], []
-                for data, before, known in rows_of([batch], "t", "spans", "items"):
-                    words = words_of(data)
-                    runs, found = [] if first else [(x["start"], x["end"]) for x in before], set(known or ())
+                counts, spans, found_in = [], [], []
+                rows = zip(*(batch.column(k).to_pylist() for k in (at, own + 1, own + 2)), strict=True)
+                for text, before, known in rows:
+                    words = words_of(text.encode() if isinstance(text, str) else text or b"")
+                    runs, found = [(x["start"], x["end"]) for x in before or ()], set(known or ())
                     for a, b, who in table.value.search(words):
                         found |= who
                         if runs and runs[-1][0] <= a <= runs[-1][1]:
@@ -130,22 +125,48 @@ def overlaps(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str
                             runs.append((a, b))
                     counts.append(len(words))
                     spans.append([{"start": a, "end": b} for a, b in _union(runs)])
-                    names.append(sorted(found))
+                    found_in.append(sorted(found))
                 types = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(spans, types), pa.array(names, pa.list_(pa.string())), batch.column(batch.schema.get_field_index("t"))], schema.names)
+                new = [pa.array(counts, pa.int64()), pa.array(spans, types), pa.array(found_in, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:own], *new], schema.names)
 
         return run
 
-    out = docs.select(F.col(id_col), F.lit(None).cast("long").alias("n_words"), F.lit(None).cast(SPANS).alias("spans"), F.lit(None).cast("array<string>").alias("items"), as_bytes(text_col).alias("t"))
-    for k, table in enumerate(tables):
-        out = out.mapInArrow(step(table, k == 0), schema)
-    return out.drop("t")
+    out = docs.select("*", *(F.lit(None).cast(t).alias(n) for n, t in added))
+    for table in tables:
+        out = out.mapInArrow(step(table), schema)
+    return out
+
+
+def overlaps(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most: int = PASS_WINDOWS) -> DataFrame:
+    """``(id, n_words, spans, items)`` of every row of ``docs``.
+
+    ``spans`` are the maximal runs of words, end exclusive, inside occurrences
+    of item windows; ``items`` the sorted names of items that have one. Null
+    and empty texts have no words. Items without words or without a name are
+    passed over, items with the same name count as one, and without items no
+    word is hit. Rows are handled one by one: repeated rows, null ids and other
+    columns make no difference.
+    """
+    lean = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text"))
+    found = _annotated(lean, items, ("n_words", "spans", "items"), size, "text", item_col, item_text, most)
+    return found.select(F.col("id").alias(id_col), "n_words", "spans", "items")
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most: int = PASS_WINDOWS) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated, unchanged."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    names = tuple(prefix + n for n in ("n_words", "spans", "items"))
+    found = _annotated(docs, items, names, size, text_col, item_col, item_text, most)
+    return found.where(~contaminated(names[0], names[1])).select(*docs.columns)
 
 
-def n_hit() -> F.Column:
-    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+def n_hit(spans: str = "spans") -> F.Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
 
-def contaminated() -> F.Column:
+def contaminated(n_words: str = "n_words", spans: str = "spans") -> F.Column:
     """At least a twentieth of the words, and one at least, are hit."""
-    return (n_hit() > 0) & (20 * n_hit() >= F.col("n_words"))
+    return (n_hit(spans) > 0) & (20 * n_hit(spans) >= F.col(n_words))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, secrets, simhash, topk
+from . import decontaminate, licenses, mixing, pages, quality, reputation, secrets, simhash, topk
 from .common import table
 
 
@@ -36,12 +36,38 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    labelled = labels.select("doc_id", mixing.domain_of_labels(F.col("quality"), F.col("toxic")).alias("domain"))
+    return mixing.mix(table(spark, sf_dir, "documents"), labelled, mixing.TARGETS)
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reputation.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    best = F.sort_array(F.transform("matches", lambda m: F.struct(-m["coverage"], m["license"])))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.get(best, F.lit(0))["license"].alias("license"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))), ",").alias("licenses"),
+        F.array_join(F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"].cast("string"), m["end"].cast("string"))), ",").alias("spans"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -58,6 +84,10 @@ QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_secret_scan": op4_secret_scan,
+    "op5_source_mixing": op5_source_mixing,
+    "op6_url_filter": op6_url_filter,
+    "op7_html_extraction": op7_html_extraction,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_license_scan": op9_license_scan,
     "op10_decontamination": op10_decontamination,
 }

@@ -21,12 +21,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -257,6 +256,22 @@ def simhash_groups(docs: DataFrame, width: int = 4, budget: int = 4, id_col: str
     return fps.join(of_fp, "fp").select(id_col, "fp", "component_id")
 
 
+def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id names their component: one document of each group.
+
+    Of several rows with that id the one with the smallest text stays. Rows
+    without an id stay.
+    """
+    groups = cut(simhash_groups(docs, width, budget, id_col, text_col))
+    chosen = groups.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("_rows"))
+    repeated = chosen.where("_rows > 1").limit(1).count()
+    kept = docs.join(chosen.select(id_col), id_col, "left_semi")
+    if repeated:
+        first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
+        kept = kept.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    return kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def hex64(column: str) -> F.Column:
     """A long's 64 bits as 16 lower-case hex digits."""
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
