@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, mixing, pages, quality, reputation, secrets, simhash, topk
+from . import decontaminate, licenses, mixing, pages, quality, reputation, secrets, simhash, suffixes, topk
 from .common import table
 
 
@@ -15,6 +15,12 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), width=4, budget=4)
     return groups.select("doc_id", simhash.hex64("fp").alias("fingerprint"), "component_id")
@@ -82,6 +88,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
