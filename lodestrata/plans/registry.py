@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import catalog_queries, control_queries, document_queries, state_queries
+from .base import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
+MODULES = (catalog_queries, document_queries, state_queries, control_queries)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["MODULES", "ORACLES", "QUERIES"]
