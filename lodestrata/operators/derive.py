@@ -223,3 +223,15 @@ def release_years(documents: DataFrame) -> DataFrame:
 
 def labels_vertex(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("data_id").alias("label_id")).distinct()
+
+
+def candidates(entity: str, documents: DataFrame) -> DataFrame:
+    """The documents that can assert additive edges at all, so that a reconciliation derives from those only."""
+    v = F.try_parse_json("data")
+    fields = {"artists": ("members", "groups"), "releases": ("extraartists",)}.get(entity, ())
+    wanted = F.lit(False)
+    for f in fields:
+        wanted = wanted | (F.size(D.items(D.at(v, f))) > 0)
+    if entity == "releases":  # credits on tracks lie too deep for a cheap test
+        wanted = wanted | ~D.is_null(D.at(v, "tracklist"))
+    return documents.where(wanted)

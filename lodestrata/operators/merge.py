@@ -80,7 +80,7 @@ def replace_for_documents(current: DataFrame, new: DataFrame, changed: DataFrame
         kept = current.join(ids, document, "left_anti")
     else:
         kept = current.join(ids.withColumn("source", F.lit(source)), [document, "source"], "left_anti")
-    return kept.unionByName(new.select(*current.columns)).distinct()
+    return kept.select(*current.columns).unionByName(new.select(*current.columns)).distinct()
 
 
 def insert_edges(current: DataFrame, new: DataFrame) -> DataFrame:
@@ -108,3 +108,21 @@ def attach_aliases(current: DataFrame, targets: DataFrame) -> tuple[DataFrame, D
     added = first.join(current, key, "left_anti").select(*current.columns)
     conflicts = first.alias("n").join(current.alias("c"), key).where("n.native_id <> c.native_id").select(*key, F.col("c.native_id").alias("native_id"), F.col("n.native_id").alias("refused_id"))
     return current.unionByName(added), conflicts
+
+
+def apply_record(current: DataFrame, record: DataFrame, now: Column) -> DataFrame:
+    """The table after one record, outside of any batch.
+
+    As ``apply_batch``, except that the native id and ``updated_at`` are always
+    overwritten and an unchanged row counts as processed.
+    """
+    incoming = latest(record).select("data_id", *(F.col(c).alias(f"new_{c}") for c in FIELDS), F.lit(True).alias("written"))
+    both = current.withColumn("is_old", F.lit(True)).join(incoming, "data_id", "full")
+    same = F.col("is_old") & F.col("written") & F.col("hash").eqNullSafe(F.col("new_hash"))
+    keeps = {"hash": same, "data": same, "media": same & F.col("media").isNotNull()}
+    return both.select(
+        "data_id",
+        *(F.when(F.col("written") & ~F.coalesce(keeps.get(c, F.lit(False)), F.lit(False)), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in FIELDS),
+        F.when(F.col("written"), now).otherwise(F.col("updated_at")).alias("updated_at"),
+        F.when(F.col("written"), "processed").alias("outcome"),
+    )

@@ -148,3 +148,11 @@ def positive_years(spark, folder):
     k = F.col("o_orderkey") % 5
     spelled = F.when(k == 0, F.concat(F.lit(" "), y, F.lit(" "))).when(k == 1, y).when(k == 2, "0000").when(k == 3, F.concat(y, F.lit(".5"))).otherwise("")
     return table(spark, folder, "orders").select(F.col("o_orderkey").cast("string").alias("release_id"), text.positive_year(spelled).alias("year"))
+
+
+@query(NUMBERED_SQL + "select release_id, count(*) as candidates from numbered where l_orderkey % 2 = 0 group by release_id")
+def candidate_documents(spark, folder):
+    docs = release_documents(spark, folder)
+    bare = docs.select("data_id", F.when(F.col("data_id").cast("long") % 2 == 0, F.col("data")).otherwise(F.lit('{"extraartists": []}')).alias("data"))
+    kept = derive.parsed(derive.candidates("releases", bare))
+    return kept.select(F.col("data_id").alias("release_id"), F.size(D.items(D.at(F.col("v"), "extraartists"))).cast("long").alias("candidates"))

@@ -187,3 +187,45 @@ def graph_purge(spark, folder):
     names = ("by_artist", "on_label", "derived_from", "in_genre", "in_style", "credited_on", "credited_to", "issued_on", "same_as")
     _, left = purge.purge(docs, {r: e[r] for r in names}, "releases", stale)
     return reduce(lambda a, b: a.unionByName(b), (left[r].agg(F.count("*").alias("n")).select(F.lit(r).alias("relation"), "n") for r in names))
+
+
+RECORD_SQL = VERSIONS_SQL + """
+, record as (select * from batch where user_id % 11 = 0)
+select coalesce(c.data_id, r.data_id) as data_id,
+  case when r.data_id is null or c.hash = r.hash then c.hash else r.hash end as hash,
+  case when r.data_id is null or (c.hash = r.hash and c.media is not null) then c.media else r.media end as media,
+  case when r.data_id is null then c.gm_item_id else r.gm_item_id end as gm_item_id,
+  strftime(case when r.data_id is null then c.updated_at else timestamp '2024-02-01 00:00:00' end, '%Y-%m-%d %H:%M:%S') as updated_at,
+  case when r.data_id is not null then 'processed' end as outcome
+from current c full join record r on c.data_id = r.data_id"""
+
+
+@query(RECORD_SQL)
+def single_record_upsert(spark, folder):
+    v = adaptor.versions(spark, folder)
+    record = v.where("not stored and user_id % 5 <> 0 and user_id % 11 = 0").select(*COLUMNS, "seq")
+    done = merge.apply_record(_tables(spark, folder)[0], record, adaptor.now())
+    return done.select("data_id", "hash", "media", "gm_item_id", shown("updated_at").alias("updated_at"), "outcome")
+
+
+@query(VERSIONS_SQL + "select coalesce(outcome, 'absent') as outcome, count(*) as n from merged_table group by 1")
+def merge_outcomes(spark, folder):
+    return _merged(spark, folder).groupBy(F.coalesce("outcome", F.lit("absent")).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query(EDGES_SQL + "select * from member_of union select member_artist_id, '99' from member_of where member_artist_id::bigint % 4 = 0")
+def additive_insert(spark, folder):
+    e = Edges(spark, folder)
+    new = e["member_of"].where("cast(member_artist_id as bigint) % 4 = 0").select("member_artist_id", F.lit("99").alias("group_artist_id"))
+    return merge.insert_edges(e["member_of"], new)
+
+
+@query(
+    """
+select p_partkey::varchar as external_id,
+  substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) as native_id
+from (select p_partkey, sha256('discogs' || chr(31) || 'release' || chr(31) || p_partkey::varchar) as h from part)"""
+)
+def native_ids(spark, folder):
+    external = F.col("p_partkey").cast("string")
+    return table(spark, folder, "part").select(external.alias("external_id"), merge.native_id(F.lit("discogs"), F.lit("release"), external).alias("native_id"))

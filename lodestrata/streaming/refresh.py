@@ -29,7 +29,7 @@ def refresh(store: SnapshotStore, owner: str, clock: Callable[[], datetime], bef
         paths = {}
         for relation, entity in (("member_of", "artists"), ("same_as", "releases")):
             empty = not tables[entity].limit(1).count()
-            wanted, inserted, deleted = merge.reconcile(edges[relation], edges[relation].limit(0) if empty else derive.derive(entity, tables[entity])[relation], empty)
+            wanted, inserted, deleted = merge.reconcile(edges[relation], edges[relation].limit(0) if empty else derive.derive(entity, derive.candidates(entity, tables[entity]))[relation], empty)
             if not empty:
                 paths[relation] = store.write(relation, wanted)
                 edges[relation] = store.read(relation, EDGE_TABLES[relation], type(base)(base.number, base.paths | paths))

@@ -119,3 +119,9 @@ def test_veto_runs(spark):
     rows_ = [("a", "3", False, False), ("a", "2", True, True), ("a", "1", True, False), ("a", "0", True, True), ("b", "1", True, False), ("c", "2", False, True), ("c", "1", True, True)]
     df = spark.createDataFrame(rows_, "entity string, version string, signalled boolean, vetoed boolean")
     assert rows(control.veto_runs(df)) == [("a", 1), ("b", 0), ("c", 2)]
+
+
+def test_single_record(spark):
+    current = spark.createDataFrame([("1", "h", "d", None, "old", OLD), ("2", "h", "d", "m", "old", OLD)], TABLE)
+    record = spark.createDataFrame([("1", "h", "new", "m", "id", 1), ("3", "x", "new", None, "id", 2)], BATCH)
+    assert rows(merge.apply_record(current, record, F.lit(NOW))) == [("1", "h", "d", "m", "id", NOW, "processed"), ("2", "h", "d", "m", "old", OLD, None), ("3", "x", "new", None, "id", NOW, "processed")]
