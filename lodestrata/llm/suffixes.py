@@ -20,18 +20,23 @@ the others is induced from them, as in external induced sorting:
 4. Neighbours whose common prefix reaches ``length`` are equal windows; all but
    the earliest are removed.
 
-A shard is split before it becomes large: where more than ``crowd`` anchors
-share one k-gram, each of their windows is dealt out by its own content.
-Nothing is dropped, and comparisons are of bytes, so hashes decide only where
-work is done.
+Repetition that is plain is taken out first: whole copies of texts, and anchors
+whose context has been seen in the same text. A shard is split before it becomes
+large: where more than ``crowd`` texts share one k-gram, each of their windows is
+dealt out by its own content. Nothing is dropped, and comparisons are of bytes
+(of SHA-256 for whole texts), so other hashes decide only where work is done.
 """
 
 from __future__ import annotations
 
+import gc
+import time
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +45,7 @@ from .common import as_bytes, cut
 
 LENGTH = 100
 GRAM = 24
-#: Anchors of one k-gram that are sorted together at most.
+#: Texts with one k-gram whose tuples are sorted together at most.
 CROWD = 50_000
 #: Bytes hashed at once; longer texts are taken in overlapping pieces.
 PIECE = 1 << 20
@@ -141,10 +146,29 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def gathered(which: np.ndarray, h: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes | None]]:
+    """One row for the anchors of a text that share a k-gram: the first, and the steps to the others (small if periodic)."""
+    order = np.lexsort((packed, h, which))
+    which, h, packed = which[order], h[order], packed[order]
+    begins = _runs(which, h)
+    sizes = np.diff(np.append(begins, len(h)))
+    more: list[bytes | None] = [None] * len(begins)
+    for k in np.flatnonzero(sizes > 1).tolist():
+        more[k] = zlib.compress(np.diff(packed[begins[k] : begins[k] + sizes[k]]).tobytes(), 1)
+    return which[begins], h[begins], packed[begins], more
+
+
+def expanded(packed: int, more: bytes | None) -> list[int]:
+    if more is None:
+        return [packed]
+    return [packed, *(packed + np.cumsum(np.frombuffer(zlib.decompress(more), np.int64))).tolist()]
+
+
 def repeated_only(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordBatch]:
-    """Rows (h, doc, copy, packed) that share their ``h``, with a mark on those of a crowd; rows come sorted by ``h``."""
+    """Rows (h, doc, copy, packed, more) that share their ``h`` or stand for several anchors, with a mark on those of a crowd; rows come sorted by ``h``."""
     held: list[np.ndarray] | None = None
     crowded = None
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
     def give(columns, end):
         nonlocal crowded
@@ -155,10 +179,10 @@ def repeated_only(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.
         mark = size > crowd
         if crowded is not None:
             mark |= h == crowded
-        keep = (size > 1) | mark
+        keep = (size > 1) | mark | np.array([m is not None for m in columns[4][:end]], bool)
         if mark.any():
             crowded = h[np.flatnonzero(mark)[-1]]
-        return pa.RecordBatch.from_arrays([pa.array(c[:end][keep]) for c in columns] + [pa.array(mark[keep])], ["h", "doc", "copy", "packed", "crowded"])
+        return pa.RecordBatch.from_arrays([pa.array(c[:end][keep], t) for c, t in zip(columns, types, strict=True)] + [pa.array(mark[keep])], ["h", "doc", "copy", "packed", "more", "crowded"])
 
     for batch in batches:
         new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -265,7 +289,11 @@ def _intervals(doc, copy, place, removed) -> list[np.ndarray]:
 
 
 def sorted_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Runs of starts of repeated windows; tuples (shard, right, left, doc, copy, packed) come sorted."""
+    """Runs of starts of repeated windows; tuples (shard, right, left, doc, copy, packed) come sorted.
+
+    A row without contexts is a run that is known already: its left end in
+    ``shard``, its right end in ``packed``.
+    """
     held: list = []
     size = 0
     last = None  # the tuple that stands for those equal to it
@@ -283,6 +311,11 @@ def sorted_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
         return pa.RecordBatch.from_arrays([pa.array(c) for c in _intervals(doc, copy, place, found)], OUT)
 
     for batch in batches:
+        known = batch.column(1).is_null()
+        if known.true_count:
+            some = batch.filter(known)
+            yield pa.RecordBatch.from_arrays([some.column(k) for k in (3, 4, 0, 5)], OUT)
+            batch = batch.filter(pc.invert(known))
         if not batch.num_rows:
             continue
         shard, doc, copy, packed = (batch.column(names.index(c)).to_numpy(zero_copy_only=False) for c in ("shard", "doc", "copy", "packed"))
@@ -324,42 +357,96 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lean.select("doc", (F.row_number().over(Window.partitionBy("doc").orderBy("t")) - 1).alias("copy"), "t")
 
 
-def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
-    """``(doc, copy, first, last)``: runs of starts of windows that also start earlier, in ``texts(doc, copy, t)``."""
+def copies_of_texts(texts: DataFrame) -> DataFrame:
+    """``(doc, copy, n_bytes)`` of the texts that are the same as an earlier one."""
+    lean = texts.select("doc", "copy", F.length("t").cast("long").alias("n_bytes"), F.unhex(F.sha2("t", 256)).alias("of"))
+    first = lean.groupBy("of").agg(F.min(F.struct("doc", "copy")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    return lean.join(cut(first.select("of", "first")), "of").where(F.struct("doc", "copy") != F.col("first")).select("doc", "copy", "n_bytes")
+
+
+def _joined_runs(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _contexts(doc: int, copy: int, data: bytes, anchors: list, length: int) -> Iterator[tuple]:
+    """The tuples of a text, each context once, and the runs of windows whose context the text has had before."""
+    known = []
+    for a in anchors:
+        seen = set()
+        for packed in expanded(a["packed"], a["more"]):
+            place, near, far = packed >> 16, packed >> 8 & 255, packed & 255
+            right, left = data[place : place + length - near], data[place - far : place][::-1]
+            if a["more"] is not None:
+                if (packed & 0xFFFF, right, left) in seen:
+                    known.append((place - far, place - near))
+                    continue
+                seen.add((packed & 0xFFFF, right, left))
+            yield a["h"], right, left, doc, copy, packed
+    for first, last in _joined_runs(known):
+        yield first, None, None, doc, copy, last
+
+
+def _batched(rows: Iterator[tuple], types: list[tuple[str, pa.DataType]], size: int = 4096) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    names = [n for n, _ in types]
+    for r in rows:
+        held.append(r)
+        if len(held) == size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*held, strict=True), types, strict=True)], names)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*held, strict=True), types, strict=True)], names)
+
+
+def _repeated_anchors(texts: DataFrame, length: int, gram: int, crowd: int) -> DataFrame:
+    """``(doc, copy, calm, busy)``: for each text its anchors whose k-gram occurs again."""
 
     def anchors(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 b = batch.slice(at, 256)
-                which, h, packed = find_anchors(b.column(2).to_pylist(), length, gram)
+                which, h, packed, more = gathered(*find_anchors(b.column(2).to_pylist(), length, gram))
                 doc, copy = (b.column(k).to_numpy(zero_copy_only=False)[which] for k in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (h, doc, copy, packed)], ["h", "doc", "copy", "packed"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in (h, doc, copy, packed)), pa.array(more, pa.binary())], ["h", "doc", "copy", "packed", "more"])
+
+    found = texts.mapInArrow(anchors, "h long, doc long, copy int, packed long, more binary")
+    shared = found.repartition("h").sortWithinPartitions("h").mapInArrow(lambda b: repeated_only(b, crowd), "h long, doc long, copy int, packed long, more binary, crowded boolean")
+    calm = F.collect_list(F.when(~F.col("crowded"), F.struct("h", "packed", "more")))
+    busy = F.collect_list(F.when(F.col("crowded"), F.struct("h", "packed", "more")))
+    return cut(shared.groupBy("doc", "copy").agg(calm.alias("calm"), busy.alias("busy")))
+
+
+def _release(df: DataFrame) -> None:
+    """Let Spark's cleaner remove the shuffle files of what has been written: they go once no object refers to them."""
+    for _ in range(2):  # the second round finds what the first has let go of in the JVM
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
 
-    found = texts.mapInArrow(anchors, "h long, doc long, copy int, packed long")
-    shared = found.repartition("h").sortWithinPartitions("h").mapInArrow(lambda b: repeated_only(b, crowd), "h long, doc long, copy int, packed long, crowded boolean")
-    calm = F.collect_list(F.when(~F.col("crowded"), F.struct("h", "packed")))
-    busy = F.collect_list(F.when(F.col("crowded"), F.col("packed")))
-    of_doc = cut(shared.groupBy("doc", "copy").agg(calm.alias("calm"), busy.alias("busy")))
+def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+    """``(doc, copy, first, last)``: runs of starts of windows that also start earlier, in ``texts(doc, copy, t)``."""
+    copies = cut(copies_of_texts(texts))
+    of_doc = _repeated_anchors(texts, length, gram, crowd).join(copies, ["doc", "copy"], "left_anti")
+    _release(texts)
 
     def contexts(batches):
+        types = [("shard", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("doc", pa.int64()), ("copy", pa.int32()), ("packed", pa.int64())]
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
-                b = batch.slice(at, 128)
-                lists = b.column(3)
-                inner = lists.flatten()
-                h, packed = (inner.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-                row = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
-                doc, copy = (b.column(k).to_numpy(zero_copy_only=False)[row] for k in (0, 1))
-                data = b.column(2).to_pylist()
-                place, near, far = (x.tolist() for x in unpack(packed))
-                rows = row.tolist()
-                right = [data[i][p : p + length - n] for i, p, n in zip(rows, place, near, strict=True)]
-                left = [data[i][p - f : p][::-1] for i, p, f in zip(rows, place, far, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(right, pa.binary()), pa.array(left, pa.binary()), pa.array(doc), pa.array(copy), pa.array(packed)], ["shard", "right", "left", "doc", "copy", "packed"])
+                rows = zip(*(batch.slice(at, 128).column(k).to_pylist() for k in range(4)), strict=True)
+                yield from _batched((x for r in rows for x in _contexts(*r, length)), types)
 
     tuples = texts.join(of_doc.select("doc", "copy", "calm"), ["doc", "copy"]).mapInArrow(contexts, "shard long, right binary, left binary, doc long, copy int, packed long")
     dealt = tuples.repartition("shard").sortWithinPartitions("shard", "right", "left", "doc", "copy", "packed")
     runs = dealt.mapInArrow(lambda b: sorted_shards(b, length), "doc long, copy int, first long, last long")
+    runs = runs.unionByName(copies.where(F.col("n_bytes") >= length).select("doc", "copy", F.lit(0).cast("long").alias("first"), (F.col("n_bytes") - length).alias("last")))
     if of_doc.where(F.size("busy") > 0).limit(1).count():
         runs = runs.unionByName(_crowded_windows(texts, of_doc, length))
     return runs
@@ -367,13 +454,32 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, c
 
 def _crowded_windows(texts: DataFrame, of_doc: DataFrame, length: int) -> DataFrame:
     """The same for anchors in crowds: windows are grouped by their whole content, partly before the shuffle."""
-    each = texts.join(of_doc.where(F.size("busy") > 0).select("doc", "copy", "busy"), ["doc", "copy"]).select("doc", "copy", "t", F.explode("busy").alias("packed"))
-    place, near, far = F.shiftright("packed", 16), F.shiftright("packed", 8).bitwiseAND(F.lit(255)), F.col("packed").bitwiseAND(F.lit(255))
-    starts = each.select("doc", "copy", "t", F.explode(F.sequence(place - far, place - near)).alias("first"))
-    windows = starts.select(F.substring("t", (F.col("first") + 1).cast("int"), F.lit(length)).alias("w"), "doc", "copy", "first")
-    earliest = windows.groupBy("w").agg(F.min(F.struct("doc", "copy", "first")).alias("e"), F.count("*").alias("n")).where("n > 1").select("w", "e")
-    later = windows.join(earliest, "w").where(F.struct("doc", "copy", "first") != F.col("e"))
-    return later.select("doc", "copy", "first", F.col("first").alias("last"))
+
+    def rows(doc, copy, data, anchors):
+        seen, known = set(), []
+        starts = sorted({s for a in anchors for p in expanded(a["packed"], a["more"]) for s in range((p >> 16) - (p & 255), (p >> 16) - (p >> 8 & 255) + 1)})
+        for s in starts:
+            w = data[s : s + length]
+            if w in seen:
+                known.append((s, s))
+            else:
+                seen.add(w)
+                yield w, doc, copy, s, s
+        for first, last in _joined_runs(known):
+            yield None, doc, copy, first, last
+
+    def windows(batches):
+        types = [("w", pa.binary()), ("doc", pa.int64()), ("copy", pa.int32()), ("first", pa.int64()), ("last", pa.int64())]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                some = zip(*(batch.slice(at, 128).column(k).to_pylist() for k in range(4)), strict=True)
+                yield from _batched((x for r in some for x in rows(*r)), types)
+
+    each = cut(texts.join(of_doc.where(F.size("busy") > 0).select("doc", "copy", "busy"), ["doc", "copy"]).mapInArrow(windows, "w binary, doc long, copy int, first long, last long"))
+    open_ones = each.where("w is not null")
+    earliest = cut(open_ones.groupBy("w").agg(F.min(F.struct("doc", "copy", "first")).alias("e"), F.count("*").alias("n")).where("n > 1").select("w", "e"))
+    later = open_ones.join(earliest, "w").where(F.struct("doc", "copy", "first") != F.col("e"))
+    return later.select("doc", "copy", "first", "last").unionByName(each.where("w is null").select("doc", "copy", "first", "last"))
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
