@@ -49,10 +49,15 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return out
 
 
-def _exact(a: np.ndarray, b: np.ndarray) -> type:
-    """The fastest type in which all products and sums of integers this large are exact."""
+def _exact(a: np.ndarray, b: np.ndarray) -> tuple[type, float]:
+    """The fastest type in which all products and sums of integers this large are exact; else the share by which sums may be off."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-    return np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else object
+    return (np.float32, 0.0) if most < 1 << 24 else (np.float64, 0.0 if most < 1 << 53 else 1e-9 * most)
+
+
+def _long(scores: np.ndarray) -> np.ndarray:
+    top = float(np.nextafter(2.0**63, 0))
+    return np.clip(scores.astype(np.float64), -top, top).astype(np.int64)
 
 
 def _blocks(queries: int, rows: int, lists: int):
@@ -80,7 +85,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, lists: int = L
     count as zero beyond their end. A candidate with the query's own id is no
     match for it; repeated candidates each take a rank, repeated queries
     (same id) are asked once, with the greatest vector. Fewer candidates
-    give fewer rows, an empty table none.
+    give fewer rows, an empty table none. Scores are exact up to 2^53; larger
+    ones are those of double arithmetic, within the range of long.
     """
     spark = queries.sparkSession
     fit = F.col("id").isNotNull() & usable(F.col("v"))
@@ -124,17 +130,17 @@ def _wave(spark, ids: np.ndarray, vectors: list, candidates: DataFrame, dims: in
         qid, q = sent.value
         best = np.full((len(qid), k), -np.inf)
         for cid, c in partition(batches):
-            kind = _exact(q, c)
+            kind, slack = _exact(q, c)
             for rows in _blocks(len(qid), len(cid), lists):
                 scores = partial(q[rows], c, kind)
-                total = sum(scores)
+                total = sum(scores).astype(np.float64) - slack
                 own = qid[rows][:, None] == cid[None, :]
                 lead = np.zeros(total.shape, bool)
                 for s in scores:
                     s = np.where(own, -np.inf, s.astype(np.float64))
                     m = min(k, s.shape[1])
                     lead[np.arange(len(s))[:, None], np.argpartition(s, s.shape[1] - m, axis=1)[:, s.shape[1] - m :]] = True
-                merged = np.concatenate([best[rows], np.where(lead & ~own, total.astype(np.float64), -np.inf)], axis=1)
+                merged = np.concatenate([best[rows], np.where(lead & ~own, total, -np.inf)], axis=1)
                 best[rows] = np.partition(merged, merged.shape[1] - k, axis=1)[:, merged.shape[1] - k :]
         yield pa.RecordBatch.from_arrays([pa.array(qid), pa.array([x[np.isfinite(x)] for x in best], pa.list_(pa.float64()))], ["query_id", "best"])
 
@@ -149,11 +155,11 @@ def _wave(spark, ids: np.ndarray, vectors: list, candidates: DataFrame, dims: in
         qid, q = sent.value
         t = cutoffs.value
         for cid, c in partition(batches):
-            kind = _exact(q, c)
+            kind, slack = _exact(q, c)
             out_q, out_c, out_s = [], [], []
             for rows in _blocks(len(qid), len(cid), lists):
                 scores = partial(q[rows], c, kind)
-                cutoff = t[rows][:, None]
+                cutoff = t[rows][:, None] - slack
                 each = cutoff / lists
                 known_any, bound = np.zeros(scores[0].shape, bool), np.zeros(scores[0].shape)
                 for s in scores:
@@ -163,12 +169,12 @@ def _wave(spark, ids: np.ndarray, vectors: list, candidates: DataFrame, dims: in
                 left = known_any & ~((bound < cutoff)) & (qid[rows][:, None] != cid[None, :])
                 for i in np.flatnonzero(left.any(axis=1)):
                     at = np.flatnonzero(left[i])
-                    total = sum(s[i, at] for s in scores)
-                    at, total = at[total >= cutoff[i]], total[total >= cutoff[i]]
-                    top = _best(total.astype(np.float64) if kind is not object else np.array([int(x) for x in total]), cid[at], k)
+                    total = sum(s[i, at].astype(np.float64) for s in scores)
+                    at, total = at[total >= cutoff[i]], _long(total[total >= cutoff[i]])
+                    top = _best(total, cid[at], k)
                     out_q.append(np.full(len(top), qid[rows][i]))
                     out_c.append(cid[at[top]])
-                    out_s.append(np.array([int(x) for x in total[top]], np.int64))
+                    out_s.append(total[top])
             if out_q:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_c, out_s)], ["query_id", "vec_id", "score"])
 
