@@ -25,6 +25,8 @@ from .reputation import host_and_path
 
 #: Pages of one host and folder that are ordered together, about; a larger folder is dealt out by a hash of the path.
 GROUP = 1000
+#: Large folders whose sizes are broadcast at most.
+FOLDERS = 10_000
 
 # Elements and names by their role.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "noembed", "noframes", "xmp"}
@@ -104,7 +106,8 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                 flush()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    flush()
+                    if any(c or m or n in BLOCK for n, c, m in stack[k:]):
+                        flush()
                     close(k)
                     break
                 if name not in BLOCK and stack[k][0] in BLOCK:
@@ -200,8 +203,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """``(id, url, text)`` of every row: the main text, blocks joined by one space.
 
     Null html counts as empty and gives the empty string. A page without a
-    neighbour (alone in its host and folder) and repeated pages are compared
-    with nothing and keep what markup leaves. Order within a host is by path,
+    neighbour, or with none but copies of itself, is compared with nothing and
+    keeps what markup leaves. Order within a host is by path,
     url, id and lines, so ties and repeated rows are settled; pages with null
     urls form one host. Very long pages are aligned whole. Other columns play
     no part; an empty table gives no rows.
@@ -217,13 +220,24 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     folder = F.regexp_extract("path", r"(?s)\A(.*/)", 1)
     sizes = source.groupBy("host", folder.alias("folder")).agg(F.ceil(F.count("*") / F.lit(group)).cast("int").alias("deals")).where("deals > 1")
+    few = sizes.limit(FOLDERS + 1).collect()
+    if len(few) <= FOLDERS:  # broadcast only within this bound; beyond it, a join
+        sizes = F.broadcast(pages.sparkSession.createDataFrame(few, sizes.schema))
     parsed = source.mapInArrow(parse, T.StructType(fields)).withColumn("folder", folder).withColumn("keys", F.transform("lines", lambda x: F.xxhash64(x)))
     dealt = parsed.join(sizes, ["host", "folder"], "left").withColumn("deal", F.pmod(F.xxhash64("path"), F.coalesce("deals", F.lit(1))).cast("int"))
-    order = Window.partitionBy("host", "folder", "deal").orderBy("path", "url", "id", "keys")
-    paired = dealt.select(
-        "id", "url", "path", "lines", "zones", "keys",
-        F.lag("keys").over(order).alias("keys_before"), F.lag("path").over(order).alias("path_before"),
-        F.lead("keys").over(order).alias("keys_after"), F.lead("path").over(order).alias("path_after"),
+    group_of, order = ["host", "folder", "deal"], ["path", "url", "id", "keys"]
+    up = Window.partitionBy(*group_of).orderBy(*order)
+    down = Window.partitionBy(*group_of).orderBy(*(F.col(c).desc() for c in order))
+
+    def neighbour(w):
+        """The nearest page in one direction that isn't the same line for line."""
+        page = F.struct("path", "keys")
+        other = F.lag(page).over(w)
+        return F.last(F.when(F.col("keys") != other["keys"], other), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    both = dealt.withColumn("before", neighbour(up)).withColumn("after", neighbour(down))
+    paired = both.select(
+        "id", "url", "path", "lines", "zones", "keys", F.col("before.keys").alias("keys_before"), F.col("before.path").alias("path_before"), F.col("after.keys").alias("keys_after"), F.col("after.path").alias("path_after")
     )
 
     def compare(batches):
