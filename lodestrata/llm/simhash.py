@@ -251,7 +251,8 @@ def simhash_groups(docs: DataFrame, width: int = 4, budget: int = 4, id_col: str
     least = cut(fps.groupBy("fp").agg(F.min(id_col).alias("least_id")))
     member = connected_components(near_links(least.select("fp"), budget))
     rooted = least.join(member, least["fp"] == member["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    # Cut, so that the join back on a crowd's root is dealt out anew and can be split.
+    named = cut(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")))
     of_fp = rooted.join(named, "root").select("fp", "component_id")
     return fps.join(of_fp, "fp").select(id_col, "fp", "component_id")
 
@@ -263,12 +264,13 @@ def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, id_col:
     without an id stay.
     """
     groups = cut(simhash_groups(docs, width, budget, id_col, text_col))
-    chosen = groups.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("_rows"))
-    repeated = chosen.where("_rows > 1").limit(1).count()
+    chosen = groups.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("rows"))
+    repeated = chosen.where("rows > 1").limit(1).count()
     kept = docs.join(chosen.select(id_col), id_col, "left_semi")
     if repeated:
+        nth = "_" * (1 + max(map(len, docs.columns)))
         first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-        kept = kept.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+        kept = kept.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1)
     return kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 
 
