@@ -24,7 +24,7 @@ from .common import sliced
 from .reputation import host_and_path
 
 #: Pages of one host and folder that are ordered together, about; a larger folder is dealt out by a hash of the path.
-GROUP = 1000
+GROUP = 256
 #: Large folders whose sizes are broadcast at most.
 FOLDERS = 10_000
 
