@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _count(pairs: DataFrame, key: str, name: str) -> DataFrame:
-    return pairs.distinct().groupBy(key).agg(F.count("*").alias(name))
+def _count(rows: DataFrame, key: str, name: str) -> DataFrame:
+    return rows.groupBy(key).agg(F.count("*").alias(name))
 
 
 def _together(edges: DataFrame, key: str, others: DataFrame, other: str, name: str, on: str = "release_id") -> DataFrame:
     """How many distinct ``other`` share a release with each ``key``."""
-    return _count(edges.join(others, on).select(key, other), key, name)
+    return _count(edges.join(others, on).select(key, other).distinct(), key, name)
 
 
 def _stats(vertices: DataFrame, key: str, counts: list[DataFrame]) -> DataFrame:
@@ -90,7 +90,7 @@ def release_degree_base(edges: dict[str, DataFrame]) -> DataFrame:
 
 def pair_count(edges: DataFrame, key: str, in_genre: DataFrame) -> DataFrame:
     """Distinct releases of each (key, genre)."""
-    rows = edges.distinct().join(in_genre.distinct(), "release_id")
+    rows = edges.join(in_genre, "release_id")
     return rows.groupBy(key, "genre_name").agg(F.count("*").alias("release_count"))
 
 
@@ -121,9 +121,9 @@ VERTEX_ENDS = (
 
 
 def vertex_degree(edges: dict[str, DataFrame]) -> DataFrame:
-    """(kind, key, degree) over ten relations; each is counted per end before the union, so little is shuffled."""
-    counted = [edges[r].groupBy(F.col(c).alias("key")).agg(F.count("*").alias("n")).withColumn("kind", F.lit(k)) for r, c, k in VERTEX_ENDS if r in edges]
-    return reduce(DataFrame.unionByName, counted).groupBy("kind", "key").agg(F.sum("n").alias("degree"))
+    """(kind, key, degree) over ten relations: one union of ends, counted within each task before the only shuffle."""
+    ends = [edges[r].select(F.lit(k).alias("kind"), F.col(c).alias("key")) for r, c, k in VERTEX_ENDS if r in edges]
+    return reduce(DataFrame.unionByName, ends).groupBy("kind", "key").agg(F.count("*").alias("degree"))
 
 
 def refresh(edges: dict[str, DataFrame], vertices: dict[str, DataFrame], years: DataFrame) -> dict[str, DataFrame]:
