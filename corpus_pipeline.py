@@ -21,12 +21,8 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: fingerprints of five-word shingles at most six bits apart.
-
-    Six of 64 bits are an agreement of 0.9; on the test tables, pairs of
-    unrelated documents start at about 15 bits.
-    """
-    return simhash.one_of_each_group(docs, width=5, budget=6)
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more, checked exactly."""
+    return simhash.one_of_each_group(docs, width=5, budget=6, seeds=8, similarity=0.8)
 
 
 def decontaminate_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

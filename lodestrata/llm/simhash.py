@@ -20,7 +20,7 @@ so a crowd of n near copies costs n rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,33 +39,44 @@ UNIT = 4096
 LEAF_PAIRS = 1 << 20
 
 
-def fingerprint(data: bytes, width: int = 4) -> int:
-    """The unsigned fingerprint of a text: majority of each bit over its shingles."""
+def shingle_hashes(data: bytes, width: int) -> Iterator[np.ndarray]:
+    """XXH64 of all shingles, repeats included, a bounded number at a time."""
     words = data.lower().split()
     if not words:
-        return 0
+        return
     digest, join = xxhash.xxh64_digest, b" ".join
-    counts, n = np.zeros(64, np.int64), max(1, len(words) - width + 1)
-    if len(words) <= width:
-        shingles: Iterator = iter([words])
-    else:
-        shingles = zip(*(words[i:] for i in range(width)), strict=False)
-    for start in range(0, n, 1 << 16):
-        size = min(1 << 16, n - start)
-        raw = b"".join([digest(join(s), SEED) for s, _ in zip(shingles, range(size), strict=False)]) if n > 1 << 16 else b"".join([digest(join(s), SEED) for s in shingles])
-        bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1)
-        counts += bits.sum(axis=0, dtype=np.int32)
-    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
+    shingles: Iterator = iter([words]) if len(words) <= width else zip(*(words[i:] for i in range(width)), strict=False)
+    while raw := b"".join([digest(join(s), SEED) for s in islice(shingles, 1 << 16)]):
+        yield np.frombuffer(raw, ">u8")
+
+
+def fingerprint_set(data: bytes, width: int = 4, seeds: int = 1) -> np.ndarray:
+    """Unsigned fingerprints of a text: majority of each bit over its shingles' hashes, as they are and mixed anew for each further seed."""
+    counts, n = np.zeros((seeds, 64), np.int64), 0
+    for hashes in shingle_hashes(data, width):
+        n += len(hashes)
+        for k in range(seeds):
+            h = hashes
+            if k:
+                h = (hashes.astype(np.uint64) ^ np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
+                h = ((h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)).astype(">u8")
+            counts[k] += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
+    return np.packbits(2 * counts > n, axis=1).view(">u8").reshape(-1).astype(np.uint64)
 
 
-def fingerprints(docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp)`` of every row, ``fp`` as a signed long. Null text counts as empty."""
-    schema = T.StructType([docs.schema[id_col], T.StructField("fp", T.LongType())])
+def fingerprint(data: bytes, width: int = 4) -> int:
+    return int(fingerprint_set(data, width)[0])
+
+
+def fingerprints(docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_col: str = "text", seeds: int = 1) -> DataFrame:
+    """``(id, fp)`` of every row, ``fp`` as a signed long; with more seeds also ``fp1``, ``fp2`` ... Null text counts as empty."""
+    names = ["fp", *(f"fp{k}" for k in range(1, seeds))]
+    schema = T.StructType([docs.schema[id_col], *(T.StructField(n, T.LongType()) for n in names)])
 
     def run(batches):
         for batch in sliced(batches):
-            fps = np.array([fingerprint(t, width) for (t,) in rows_of([batch], "t")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], [id_col, "fp"])
+            fps = np.stack([fingerprint_set(t, width, seeds) for (t,) in rows_of([batch], "t")]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(fps[:, k].copy()) for k in range(seeds))], schema.names)
 
     return docs.select(F.col(id_col), as_bytes(text_col).alias("t")).mapInArrow(run, schema)
 
@@ -92,6 +103,12 @@ def _merge(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 def _leaves(keys: np.ndarray, budget: int, labels: np.ndarray, pairs: np.ndarray) -> None:
     """Compare the fingerprints below each pair of nodes (lo, hi, lo, hi)."""
     sizes = (pairs[:, 1] - pairs[:, 0]) * (pairs[:, 3] - pairs[:, 2])
+    large = sizes > 256
+    for a, b, c, d in pairs[large].tolist():
+        i, j = np.nonzero(np.bitwise_count(keys[a:b, None] ^ keys[None, c:d]) <= budget)
+        i, j = i + a, j + c
+        _merge(labels, i[i < j], j[i < j])
+    pairs, sizes = pairs[~large], sizes[~large]
     ends = np.cumsum(sizes)
     at = 0
     while at < len(pairs):
@@ -107,8 +124,8 @@ def _leaves(keys: np.ndarray, budget: int, labels: np.ndarray, pairs: np.ndarray
         at = to
 
 
-def trie_forest(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, budget: int, leaf: int = 1024) -> np.ndarray:
-    """For sorted distinct ``keys``, the index of each one's component root.
+def trie_forest(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, budget: int, leaf: int = 4096) -> np.ndarray:
+    """For sorted ``keys``, the index of each one's component root.
 
     ``starts`` and ``ends`` bound subtries whose keys agree on the first
     ``depth`` bits; only keys of one subtrie are joined.
@@ -165,34 +182,35 @@ def _permuted(x: np.ndarray, order: list[tuple[int, int]], back: bool = False) -
 
 
 def _units(batches: Iterator[pa.RecordBatch], rows: int = 1 << 17) -> Iterator[tuple[np.ndarray, ...]]:
-    """(combo, unit, fp) in runs of whole units; rows come sorted by combo and unit."""
+    """(combo, unit, fp, node) in runs of whole units; rows come sorted by combo and unit."""
     held: list[tuple[np.ndarray, ...]] = []
 
     def joined():
         return tuple(np.concatenate(c) for c in zip(*held, strict=True))
 
     for batch in batches:
-        held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)))
+        held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)))
         if sum(len(h[0]) for h in held) >= rows:
-            combo, unit, fp = joined()
+            columns = joined()
+            combo, unit = columns[:2]
             change = np.flatnonzero((combo[1:] != combo[:-1]) | (unit[1:] != unit[:-1]))
             if len(change):
                 end = change[-1] + 1
-                yield combo[:end], unit[:end], fp[:end]
-                held = [(combo[end:], unit[end:], fp[end:])]
+                yield tuple(c[:end] for c in columns)
+                held = [tuple(c[end:] for c in columns)]
             else:
-                held = [(combo, unit, fp)]
+                held = [columns]
     if held:
         yield joined()
 
 
-def near_links(fps: DataFrame, budget: int = 4, blocks: int | None = None, unit: int = UNIT) -> DataFrame:
-    """Edges ``(u, v)`` among the distinct longs in ``fps(fp)`` that span all links within ``budget`` bits.
+def near_links(fps: DataFrame, budget: int = 4, blocks: int | None = None, unit: int = UNIT, columns: tuple[str, ...] = ("fp",), node: str = "fp") -> DataFrame:
+    """Edges ``(u, v)`` among the longs in ``node`` that span all links of ``budget`` bits or fewer.
 
-    Exact at every size: ``blocks`` and ``unit`` only set how the work is
-    dealt out. No fingerprints give no edges.
+    Rows are linked if they are that near in one of ``columns``. Exact at
+    every size: ``blocks`` and ``unit`` only set how the work is dealt out. No
+    rows give no edges.
     """
-    spark = fps.sparkSession
     n = fps.count()
     if blocks is None:
         blocks = budget + 1
@@ -203,37 +221,40 @@ def near_links(fps: DataFrame, budget: int = 4, blocks: int | None = None, unit:
     orders = [[bounds[b] for b in c] + [bounds[b] for b in range(blocks) if b not in c] for c in combos]
     tops = [sum(bounds[b][1] for b in c) for c in combos]
 
-    def key(c):
-        parts = [F.shiftrightunsigned("fp", 64 - a - w).bitwiseAND(F.lit((1 << w) - 1)) for a, w in (bounds[b] for b in c)]
-        return F.struct(F.lit(combos.index(c)).alias("combo"), F.xxhash64(*parts).alias("top") if len(parts) > 2 else (parts[0] if len(parts) == 1 else F.shiftleft(parts[0], 32).bitwiseOR(parts[1])).alias("top"))
+    def key(which: int, c: tuple[int, ...]):
+        column = columns[which]
+        parts = [F.shiftrightunsigned(column, 64 - a - w).bitwiseAND(F.lit((1 << w) - 1)) for a, w in (bounds[b] for b in c)]
+        top = parts[0] if len(parts) == 1 else F.shiftleft(parts[0], 32).bitwiseOR(parts[1]) if len(parts) == 2 else F.xxhash64(*parts)
+        return F.struct(F.lit(which * len(combos) + combos.index(c)).alias("combo"), top.alias("top"), F.col(column).alias("fp"))
 
-    keyed = fps.select("fp", F.explode(F.array(*[key(c) for c in combos])).alias("k")).select("fp", "k.combo", "k.top")
+    keys = F.array(*[key(k, c) for k in range(len(columns)) for c in combos])
+    keyed = fps.select(F.col(node).alias("node"), F.explode(keys).alias("k")).select("node", "k.fp", "k.combo", "k.top")
     crowds = keyed.groupBy("combo", "top").agg(F.count("*").alias("size")).where(F.col("size") > unit)
     chunks = F.ceil(F.col("size") / F.lit(unit)).cast("int")
-    mine = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
+    mine = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     if crowds.limit(1).count():
         split = keyed.join(crowds.select("combo", "top", chunks.alias("chunks")), ["combo", "top"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
         split = split.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        keyed = split.select("fp", "combo", F.xxhash64("combo", "top", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"))
+        keyed = split.select("node", "fp", "combo", F.xxhash64("combo", "top", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"))
     else:
-        keyed = keyed.select("fp", "combo", F.xxhash64("combo", "top").alias("unit"))
+        keyed = keyed.select("node", "fp", "combo", F.xxhash64("combo", "top").alias("unit"))
 
     def run(batches):
-        for combo, unit_id, fp in _units(batches):
+        for combo, unit_id, fp, nodes in _units(batches):
             for c in np.unique(combo):
                 here = combo == c
-                x = _permuted(fp[here].view(np.uint64), orders[c])
-                u = unit_id[here]
-                order = np.lexsort((x, u))
-                x, u = x[order], u[order]
-                cuts = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (x[1:] >> np.uint64(64 - tops[c]) != x[:-1] >> np.uint64(64 - tops[c]))]))
-                labels = trie_forest(x, cuts, np.append(cuts[1:], len(x)), tops[c], budget)
+                place, top = orders[c % len(combos)], np.uint64(64 - tops[c % len(combos)])
+                x = _permuted(fp[here].view(np.uint64), place)
+                u, own = unit_id[here], nodes[here]
+                order = np.lexsort((own, x, u))
+                x, u, own = x[order], u[order], own[order]
+                cuts = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (x[1:] >> top != x[:-1] >> top)]))
+                labels = trie_forest(x, cuts, np.append(cuts[1:], len(x)), 64 - int(top), budget)
                 moved = np.flatnonzero(labels != np.arange(len(x)))
                 if len(moved):
-                    a, b = (_permuted(x[k], orders[c], back=True).view(np.int64) for k in (moved, labels[moved]))
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["u", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(own[moved]), pa.array(own[labels[moved]])], ["u", "v"])
 
-    dealt = keyed.select("combo", "unit", "fp").repartition("combo", "unit").sortWithinPartitions("combo", "unit")
+    dealt = keyed.select("combo", "unit", "fp", "node").repartition("combo", "unit").sortWithinPartitions("combo", "unit")
     return dealt.mapInArrow(run, "u long, v long")
 
 
@@ -257,16 +278,69 @@ def simhash_groups(docs: DataFrame, width: int = 4, budget: int = 4, id_col: str
     return fps.join(of_fp, "fp").select(id_col, "fp", "component_id")
 
 
-def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group.
+def _shingle_sets(docs: DataFrame, ids: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """``(id, set)`` for the ids in ``ids(id)``: the sorted distinct hashes of a text's shingles, as bytes."""
 
-    Of several rows with that id the one with the smallest text stays. Rows
-    without an id stay.
+    def run(batches):
+        for batch in sliced(batches):
+            sets = [np.unique(np.concatenate([h.astype(np.uint64) for h in shingle_hashes(t, width)] or [np.zeros(0, np.uint64)])).tobytes() for (t,) in rows_of([batch], "t")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "set"])
+
+    wanted = docs.select(F.col(id_col).cast("long").alias("id"), as_bytes(text_col).alias("t")).join(ids, "id", "left_semi")
+    return wanted.select("id", "t").mapInArrow(run, "id long, set binary").groupBy("id").agg(F.min("set").alias("set"))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``(node, id, ok)`` of ``pairs(node, id, kept)``: whether the Jaccard similarity of the two texts reaches ``similarity``."""
+
+    def run(batches):
+        for batch in sliced(batches):
+            ok = []
+            for a, b in rows_of([batch], "set", "other"):
+                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(both >= similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["node", "id", "ok"])
+
+    joined = pairs.join(sets, "id").join(sets.select(F.col("id").alias("kept"), F.col("set").alias("other")), "kept")
+    return joined.select("node", "id", "set", "other").mapInArrow(run, "node long, id long, ok boolean")
+
+
+def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, seeds: int = 8, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies of others that stay.
+
+    Candidates are linked by the trie self-join in any of ``seeds``
+    fingerprints: one alone misses most pairs near the limit of similarity.
+    In each group the document with the smallest id stays, and those whose
+    shingles overlap with its by ``similarity`` go, checked exactly. The
+    others of a group are grouped once more by a tighter budget and treated
+    alike; what is still unlike its group's first stays. Documents with the
+    same fingerprint are copies: the smallest id stays.
+
+    Of several rows with an id that stays, the one with the smallest text
+    stays. Rows without an id stay; ids are taken as longs. An empty table
+    gives no rows.
     """
-    groups = cut(simhash_groups(docs, width, budget, id_col, text_col))
-    chosen = groups.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("rows"))
-    repeated = chosen.where("rows > 1").limit(1).count()
-    kept = docs.join(chosen.select(id_col), id_col, "left_semi")
+    names = ["fp", *(f"fp{k}" for k in range(1, seeds))]
+    named = docs.where(F.col(id_col).isNotNull())
+    fps = cut(fingerprints(named, width, id_col, text_col, seeds).withColumn("id", F.col(id_col).cast("long")))
+    repeated = fps.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").limit(1).count()
+    nodes = cut(fps.groupBy("fp").agg(F.min(F.struct("id", *names[1:])).alias("m")).select("fp", "m.*"))
+
+    def candidates(among: DataFrame, edges: DataFrame) -> DataFrame:
+        """(node, id, kept): the members of a group, but for the one that stays."""
+        group = connected_components(edges).join(among.select(F.col("fp").alias("node"), "id"), "node")
+        first = cut(group.groupBy("root").agg(F.min("id").alias("kept")))
+        return cut(group.join(first, "root").where("id <> kept").select("node", "id", "kept"))
+
+    pairs = candidates(nodes, near_links(nodes, budget, columns=tuple(names), node="fp"))
+    sets = cut(_shingle_sets(named, pairs.select("id").union(pairs.select("kept")).distinct(), width, id_col, text_col))
+    checked = cut(_alike(pairs, sets, similarity))
+    unlike = checked.where("not ok").select(F.col("node").alias("fp"), "id")
+    again = _alike(candidates(unlike, near_links(unlike, min(4, budget))), sets, similarity)
+    gone = checked.where("ok").select("id").union(again.where("ok").select("id"))
+    chosen = cut(nodes.select("id").join(gone, "id", "left_anti"))
+    kept = named.join(chosen.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col)), id_col, "left_semi")
     if repeated:
         nth = "_" * (1 + max(map(len, docs.columns)))
         first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())

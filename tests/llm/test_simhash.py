@@ -68,12 +68,43 @@ def test_groups(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, fp string, component_id int")
     out = sorted(((r.doc_id, r.component_id) for r in simhash.simhash_groups(df).collect()), key=str)
     assert out == sorted([(5, 3), (3, 3), (9, 8), (8, 8), (7, 3), (7, 3), (None, 3), (4, 4), (None, None)], key=str)
-    kept = simhash.one_of_each_group(df, width=4, budget=4)
+    kept = simhash.one_of_each_group(df)
     assert kept.columns == df.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, 8, 4, None, None], key=str)
+    assert simhash.one_of_each_group(df.limit(0)).count() == 0
     assert simhash.simhash_groups(df.limit(0)).count() == 0
 
 
+def shingles(text, width=5):
+    w = text.lower().split()
+    return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+
+def test_near_copies_go_and_others_stay(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    docs, copies = [], []
+    for i in range(60):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(80, 600))]
+        docs.append((10 * i, " ".join(words)))
+        for k in range(1, 5):
+            changed = list(words)
+            for at in rng.sample(range(len(words)), max(1, len(words) * (k if k < 4 else 8) // 200)):
+                changed[at] = rng.choice(vocabulary)
+            docs.append((10 * i + k, " ".join(changed)))
+    sets = {i: shingles(t) for i, t in docs}
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    kept = {r.doc_id for r in simhash.one_of_each_group(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {10 * i for i in range(60)} <= kept
+    for i, _ in docs:
+        best = max((alike(i, j) for j in kept if j != i and j // 10 == i // 10), default=0)
+        if i not in kept:
+            assert best >= 0.8
+        elif i % 10:
+            copies.append(alike(i, i - i % 10) >= 0.85)
+    assert sum(copies) <= 3  # near copies that were missed
+
+
 def test_repeated_ids_keep_one_row(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (1, "z y x w v u")], "doc_id long, text string")
     assert [tuple(r) for r in simhash.one_of_each_group(df).collect()] == [(1, "a b c d e f")]
