@@ -35,6 +35,9 @@ DROPPED = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 CLOSED_BY = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select", "datalist"}}
 NAMES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo", "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "sidebar", "comment", "comments", "commentlist", "disqus", "replies", "reply", "respond", "menu", "navbar", "nav", "navigation", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "toolbar", "related", "share", "sharing", "social", "widget", "login", "search", "pagination", "pager"}
+STEMS = ("advert", "sponsor", "cookie", "comments", "sidebar", "newsletter", "breadcrumb", "navig", "subscri", "notific", "popup")
+#: Names that mean a page's head outside of an article, and the article's own title in it.
+TITLES = {"header", "masthead"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar"}
 
 TAG = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|(/?)([A-Za-z][^\s/>]*)([^>]*)>|[!?][^>]*>|/?[A-Za-z][^>]*\Z)""", re.DOTALL)
@@ -43,22 +46,27 @@ SPACE = re.compile(r"\s+")
 MAIN, OTHER, CHROME = 0, 1, 2
 
 
-def _is_chrome(name: str, attributes: str) -> bool:
-    if name in DROPPED:
+def _names_chrome(value: str, in_article: bool) -> bool:
+    parts = (p.rstrip("0123456789") for word in value.split() for p in re.split(r"[-_:]+|(?<=[a-z])(?=[A-Z])", word))
+    return any(p in NAMES and not (in_article and p in TITLES) or p.startswith(STEMS) for p in map(str.lower, parts))
+
+
+def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
+    if name in DROPPED and not (in_article and name in TITLES):
         return True
     if not attributes or name in ("html", "body", "article", "main"):
         return False
     for m in ATTRIBUTE.finditer(attributes):
         if not m[1]:
             return True
-        kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if kind == "role":
-            if value.strip() in ROLES:
+            if value.strip().lower() in ROLES:
                 return True
         elif kind == "style":
-            if "display:none" in value.replace(" ", ""):
+            if "display:none" in value.replace(" ", "").lower():
                 return True
-        elif any(part in NAMES for word in value.split() for part in re.split(r"[-_:]+|(?<=[a-z])(?=[A-Z])", word)):
+        elif _names_chrome(value, in_article):
             return True
     return False
 
@@ -138,7 +146,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                     break
         if name in VOID or attributes.endswith("/") and name not in BLOCK:
             continue
-        is_chrome = _is_chrome(name, attributes)
+        is_chrome = _is_chrome(name, attributes, main > 0)
         is_main = name in ("article", "main") or "role" in attributes and re.search(r"""role\s*=\s*["']?main\b""", attributes) is not None
         if is_chrome and name not in BLOCK:
             flush()

@@ -19,6 +19,15 @@ def test_markup():
     assert text_of(page) == ["Head&line", "One two three éA", "Four", "a", "b"]
 
 
+def test_names_of_elements():
+    keep = "<article><header class='entry-header'><h1>Title</h1></header><p class='commentary lead'>x</p>{}</article>"
+    assert text_of(keep.format("")) == ["Title", "x"]
+    for name in ("ad", "ads1", "ad_0", "adBox", "advertBlock", "comments-area", "sidebarLeft", "site-footer", "cookieNotice", "newsletter2"):
+        assert text_of(keep.format(f"<div class='{name}'>no</div><div id={name}>no</div>")) == ["Title", "x"], name
+    assert text_of("<header class='h'>Site</header><div class='site-header'>Site</div><main><p>y</p></main>") == ["y"]
+    assert text_of("<article><div class='badge address adage'>y</div></article>") == ["y"]
+
+
 def test_broken_markup():
     assert text_of("<article><p><b>One.<br><p>Two</b> x</article><footer>f") == ["One.", "Two x"]
     assert text_of("<article><p>a &am") == ["a &am"]
