@@ -250,9 +250,13 @@ def near_links(fps: DataFrame, budget: int = 4, blocks: int | None = None, unit:
                 x, u, own = x[order], u[order], own[order]
                 cuts = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (x[1:] >> top != x[:-1] >> top)]))
                 labels = trie_forest(x, cuts, np.append(cuts[1:], len(x)), 64 - int(top), budget)
-                moved = np.flatnonzero(labels != np.arange(len(x)))
+                # Each points at the least node of its component, so that units that find the same component give the same edges.
+                least = np.full(len(x), np.iinfo(np.int64).max)
+                np.minimum.at(least, labels, own)
+                root = least[labels]
+                moved = np.flatnonzero(root != own)
                 if len(moved):
-                    yield pa.RecordBatch.from_arrays([pa.array(own[moved]), pa.array(own[labels[moved]])], ["u", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(own[moved]), pa.array(root[moved])], ["u", "v"])
 
     dealt = keyed.select("combo", "unit", "fp", "node").repartition("combo", "unit").sortWithinPartitions("combo", "unit")
     return dealt.mapInArrow(run, "u long, v long")
