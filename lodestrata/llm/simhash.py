@@ -20,7 +20,8 @@ so a crowd of n near copies costs n rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations, islice
+from functools import reduce
+from itertools import combinations, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ SEED = 42
 UNIT = 4096
 #: Compared at once at the trie's leaves.
 LEAF_PAIRS = 1 << 20
+#: Rounds of the exact check in which a whole group is compared with its first, before units are compared one by one.
+STAR_ROUNDS = 3
 
 
 def shingle_hashes(data: bytes, width: int) -> Iterator[np.ndarray]:
@@ -204,12 +207,30 @@ def _units(batches: Iterator[pa.RecordBatch], rows: int = 1 << 17) -> Iterator[t
         yield joined()
 
 
-def near_links(fps: DataFrame, budget: int = 4, blocks: int | None = None, unit: int = UNIT, columns: tuple[str, ...] = ("fp",), node: str = "fp") -> DataFrame:
+def _to_firsts(labels: np.ndarray, own: np.ndarray, firsts: int) -> Iterator[pa.RecordBatch]:
+    """Edges from the nodes of each component to its ``firsts`` least ones, and loops at nodes that have more before them."""
+    order = np.lexsort((own, labels))
+    own, labels = own[order], labels[order]
+    start = np.maximum.accumulate(np.where(np.concatenate([[True], labels[1:] != labels[:-1]]), np.arange(len(own)), 0))
+    rank = np.arange(len(own)) - start
+    for k in range(min(firsts, int(rank.max()))):
+        later = rank > k
+        yield pa.RecordBatch.from_arrays([pa.array(own[later]), pa.array(own[start[later] + k])], ["u", "v"])
+    more = own[rank > firsts]
+    if len(more):
+        yield pa.RecordBatch.from_arrays([pa.array(more), pa.array(more)], ["u", "v"])
+
+
+def near_links(fps: DataFrame, budget: int = 4, blocks: int | None = None, unit: int = UNIT, columns: tuple[str, ...] = ("fp",), node: str = "fp", firsts: int = 0) -> DataFrame:
     """Edges ``(u, v)`` among the longs in ``node`` that span all links of ``budget`` bits or fewer.
 
     Rows are linked if they are that near in one of ``columns``. Exact at
     every size: ``blocks`` and ``unit`` only set how the work is dealt out. No
     rows give no edges.
+
+    With ``firsts``, each node has instead an edge to every lesser one among
+    the ``firsts`` least of its component in a unit, and a loop ``(u, u)`` if
+    lesser ones remain beyond those.
     """
     n = fps.count()
     if blocks is None:
@@ -250,6 +271,9 @@ def near_links(fps: DataFrame, budget: int = 4, blocks: int | None = None, unit:
                 x, u, own = x[order], u[order], own[order]
                 cuts = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (x[1:] >> top != x[:-1] >> top)]))
                 labels = trie_forest(x, cuts, np.append(cuts[1:], len(x)), 64 - int(top), budget)
+                if firsts:
+                    yield from _to_firsts(labels, own, firsts)
+                    continue
                 # Each points at the least node of its component, so that units that find the same component give the same edges.
                 least = np.full(len(x), np.iinfo(np.int64).max)
                 np.minimum.at(least, labels, own)
@@ -295,7 +319,7 @@ def _shingle_sets(docs: DataFrame, ids: DataFrame, width: int, id_col: str, text
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``(node, id, ok)`` of ``pairs(node, id, kept)``: whether the Jaccard similarity of the two texts reaches ``similarity``."""
+    """The ``pairs(u, v)`` of ids whose texts' Jaccard similarity reaches ``similarity``."""
 
     def run(batches):
         for batch in sliced(batches):
@@ -304,10 +328,10 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
                 x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(both >= similarity * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["node", "id", "ok"])
+            yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
-    joined = pairs.join(sets, "id").join(sets.select(F.col("id").alias("kept"), F.col("set").alias("other")), "kept")
-    return joined.select("node", "id", "set", "other").mapInArrow(run, "node long, id long, ok boolean")
+    joined = pairs.join(sets.withColumnRenamed("id", "u"), "u").join(sets.select(F.col("id").alias("v"), F.col("set").alias("other")), "v")
+    return joined.select("u", "v", "set", "other").mapInArrow(run, "u long, v long")
 
 
 def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, seeds: int = 8, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -316,9 +340,13 @@ def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, seeds: i
     Candidates are linked by the trie self-join in any of ``seeds``
     fingerprints: one alone misses most pairs near the limit of similarity.
     In each group the document with the smallest id stays, and those whose
-    shingles overlap with its by ``similarity`` go, checked exactly. The
-    others of a group are grouped once more by a tighter budget and treated
-    alike; what is still unlike its group's first stays. Documents with the
+    shingles overlap with its by ``similarity`` go, checked exactly. Those
+    unlike it are linked anew, at the same budget, without the ones settled,
+    until no links are left: a document stays only if it is unlike every
+    candidate with a smaller id that stays. After ``STAR_ROUNDS`` rounds the
+    documents of each unit are compared with its first ones directly, four
+    times as many each round, so that many unlike documents that are all
+    candidates of each other take few rounds. Documents with the
     same fingerprint are copies: the smallest id stays.
 
     Of several rows with an id that stays, the one with the smallest text
@@ -330,20 +358,28 @@ def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, seeds: i
     fps = cut(fingerprints(named, width, id_col, text_col, seeds).withColumn("id", F.col(id_col).cast("long")))
     repeated = fps.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").limit(1).count()
     nodes = cut(fps.groupBy("fp").agg(F.min(F.struct("id", *names[1:])).alias("m")).select("fp", "m.*"))
-
-    def candidates(among: DataFrame, edges: DataFrame) -> DataFrame:
-        """(node, id, kept): the members of a group, but for the one that stays."""
-        group = connected_components(edges).join(among.select(F.col("fp").alias("node"), "id"), "node")
-        first = cut(group.groupBy("root").agg(F.min("id").alias("kept")))
-        return cut(group.join(first, "root").where("id <> kept").select("node", "id", "kept"))
-
-    pairs = candidates(nodes, near_links(nodes, budget, columns=tuple(names), node="fp"))
-    sets = cut(_shingle_sets(named, pairs.select("id").union(pairs.select("kept")).distinct(), width, id_col, text_col))
-    checked = cut(_alike(pairs, sets, similarity))
-    unlike = checked.where("not ok").select(F.col("node").alias("fp"), "id")
-    again = _alike(candidates(unlike, near_links(unlike, min(4, budget))), sets, similarity)
-    gone = checked.where("ok").select("id").union(again.where("ok").select("id"))
-    chosen = cut(nodes.select("id").join(gone, "id", "left_anti"))
+    active, sets, gone = nodes, None, []
+    for step in count():
+        if step < STAR_ROUNDS:
+            group = connected_components(near_links(active, budget, columns=tuple(names), node="id"))
+            links = cut(group.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
+        else:
+            links = cut(near_links(active, budget, columns=tuple(names), node="id", firsts=4 ** (step - STAR_ROUNDS + 1)).distinct())
+        if not links.limit(1).count():
+            break
+        if sets is None:  # later rounds link no others
+            sets = cut(_shingle_sets(named, links.select(F.explode(F.array("u", "v")).alias("id")).distinct(), width, id_col, text_col))
+        like = cut(_alike(links.where("u <> v"), sets, similarity))
+        if step < STAR_ROUNDS:
+            waiting, goes = links.select("u"), like.select("u")
+        else:
+            waiting = cut(links.where("u = v").select("u").union(like.select("u")).distinct())
+            goes = like.join(waiting.select(F.col("u").alias("v")), "v", "left_anti").select("u")
+        gone.append(cut(goes.distinct().withColumnRenamed("u", "id")))
+        active = cut(active.join(waiting.withColumnRenamed("u", "id"), "id", "left_semi").join(gone[-1], "id", "left_anti"))
+    chosen = nodes.select("id")
+    if gone:
+        chosen = cut(chosen.join(reduce(DataFrame.union, gone), "id", "left_anti"))
     kept = named.join(chosen.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col)), id_col, "left_semi")
     if repeated:
         nth = "_" * (1 + max(map(len, docs.columns)))

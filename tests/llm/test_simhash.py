@@ -105,6 +105,49 @@ def test_near_copies_go_and_others_stay(spark):
     assert sum(copies) <= 3  # near copies that were missed
 
 
+def greedy(sets, linked):
+    """Ids in order; each stays unless it is like a candidate that stays."""
+    stay = []
+    for i in sorted(sets):
+        if not any(linked(i, j) and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in stay):
+            stay.append(i)
+    return set(stay)
+
+
+@pytest.mark.parametrize("stars", [3, 0])
+def test_copies_chained_to_an_unlike_document_go(spark, monkeypatch, stars):
+    monkeypatch.setattr(simhash, "STAR_ROUNDS", stars, raising=False)
+    # One text drifts: 1 and 2 are near each other and so on, but far from 0; each step has a near copy of its own.
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    docs, at = [], list(range(400))
+    rng.shuffle(at)
+    for k in range(24):
+        for p in at[8 * k : 8 * k + 8]:
+            words[p] = f"new{p}"
+        docs.append((2 * k, " ".join(words)))
+        docs.append((2 * k + 1, " ".join(words[:-1] + [f"end{k}"])))
+    sets = {i: shingles(t) for i, t in docs}
+    fps = {i: simhash.fingerprint_set(t.encode(), 5, 8) for i, t in docs}
+    linked = lambda i, j: (np.bitwise_count(fps[i] ^ fps[j]) <= 6).any()
+    kept = {r.doc_id for r in simhash.one_of_each_group(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    like = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    assert not any(linked(i, j) and like(i, j) for i in kept for j in kept if i < j)
+    assert all(any(like(i, j) for j in kept) for i in set(sets) - kept)
+    assert 1 < len(kept) <= len(greedy(sets, linked))
+
+
+def test_many_unlike_candidates_take_few_rounds(spark):
+    # Four words in five are one repeated word, so its shingle makes up each fingerprint bit for bit.
+    own = lambda i: " ".join(f"x{i}n{k}" for k in range(20))
+    docs = [(i, "bar " * 300 + own(i // 2) + (" end" if i % 2 else "") + " bar" * i) for i in range(80)]
+    fps = {tuple(simhash.fingerprint_set(t.encode(), 5, 8)[1:]) for _, t in docs}
+    assert len(fps) == 1
+    nodes = spark.createDataFrame([(i, 7) for i, _ in docs], "id long, fp long")
+    edges = {(r.u, r.v) for r in simhash.near_links(nodes, 6, node="id", firsts=4).collect()}
+    assert edges == {(i, j) for i in range(80) for j in range(min(i, 4))} | {(i, i) for i in range(5, 80)}
+
+
 def test_repeated_ids_keep_one_row(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (1, "z y x w v u")], "doc_id long, text string")
     assert [tuple(r) for r in simhash.one_of_each_group(df).collect()] == [(1, "a b c d e f")]
