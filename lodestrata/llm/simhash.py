@@ -53,33 +53,49 @@ def shingle_hashes(data: bytes, width: int) -> Iterator[np.ndarray]:
         yield np.frombuffer(raw, ">u8")
 
 
-def fingerprint_set(data: bytes, width: int = 4, seeds: int = 1) -> np.ndarray:
-    """Unsigned fingerprints of a text: majority of each bit over its shingles' hashes, as they are and mixed anew for each further seed."""
-    counts, n = np.zeros((seeds, 64), np.int64), 0
+def _digested(data: bytes, width: int, seeds: int, distinct: bool) -> tuple[np.ndarray, bytes]:
+    """Fingerprints of a text, and with ``distinct`` a 128-bit hash of the set of its shingles' hashes."""
+    counts, n, sets = np.zeros((seeds, 64), np.int64), 0, []
     for hashes in shingle_hashes(data, width):
         n += len(hashes)
+        if distinct:
+            sets.append(np.unique(hashes.astype(np.uint64)))
         for k in range(seeds):
             h = hashes
             if k:
                 h = (hashes.astype(np.uint64) ^ np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
                 h = ((h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)).astype(">u8")
             counts[k] += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
-    return np.packbits(2 * counts > n, axis=1).view(">u8").reshape(-1).astype(np.uint64)
+    whole = sets[0] if len(sets) == 1 else np.unique(np.concatenate(sets or [np.zeros(0, np.uint64)]))
+    digest = xxhash.xxh3_128_digest(whole.tobytes()) if distinct else b""
+    return np.packbits(2 * counts > n, axis=1).view(">u8").reshape(-1).astype(np.uint64), digest
+
+
+def fingerprint_set(data: bytes, width: int = 4, seeds: int = 1) -> np.ndarray:
+    """Unsigned fingerprints of a text: majority of each bit over its shingles' hashes, as they are and mixed anew for each further seed."""
+    return _digested(data, width, seeds, False)[0]
 
 
 def fingerprint(data: bytes, width: int = 4) -> int:
     return int(fingerprint_set(data, width)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_col: str = "text", seeds: int = 1) -> DataFrame:
-    """``(id, fp)`` of every row, ``fp`` as a signed long; with more seeds also ``fp1``, ``fp2`` ... Null text counts as empty."""
+def fingerprints(docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_col: str = "text", seeds: int = 1, digest: bool = False) -> DataFrame:
+    """``(id, fp)`` of every row, ``fp`` as a signed long; with more seeds also ``fp1``, ``fp2`` ... Null text counts as empty.
+
+    With ``digest`` a hash of the set of shingles comes last.
+    """
     names = ["fp", *(f"fp{k}" for k in range(1, seeds))]
     schema = T.StructType([docs.schema[id_col], *(T.StructField(n, T.LongType()) for n in names)])
+    if digest:
+        schema = schema.add("digest", T.BinaryType())
 
     def run(batches):
         for batch in sliced(batches):
-            fps = np.stack([fingerprint_set(t, width, seeds) for (t,) in rows_of([batch], "t")]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(fps[:, k].copy()) for k in range(seeds))], schema.names)
+            made = [_digested(t, width, seeds, digest) for (t,) in rows_of([batch], "t")]
+            fps = np.stack([x for x, _ in made]).view(np.int64)
+            more = [pa.array([d for _, d in made], pa.binary())] if digest else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(fps[:, k].copy()) for k in range(seeds)), *more], schema.names)
 
     return docs.select(F.col(id_col), as_bytes(text_col).alias("t")).mapInArrow(run, schema)
 
@@ -347,7 +363,9 @@ def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, seeds: i
     documents of each unit are compared with its first ones directly, four
     times as many each round, so that many unlike documents that are all
     candidates of each other take few rounds. Documents with the
-    same fingerprint are copies: the smallest id stays.
+    same set of shingles are copies: the smallest id stays. Equal fingerprints
+    alone only make candidates, for a shingle that is more than half of a text
+    decides all of its fingerprints.
 
     Of several rows with an id that stays, the one with the smallest text
     stays. Rows without an id stay; ids are taken as longs. An empty table
@@ -355,9 +373,15 @@ def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, seeds: i
     """
     names = ["fp", *(f"fp{k}" for k in range(1, seeds))]
     named = docs.where(F.col(id_col).isNotNull())
-    fps = cut(fingerprints(named, width, id_col, text_col, seeds).withColumn("id", F.col(id_col).cast("long")))
-    repeated = fps.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").limit(1).count()
-    nodes = cut(fps.groupBy("fp").agg(F.min(F.struct("id", *names[1:])).alias("m")).select("fp", "m.*"))
+    hashed = lambda rows: cut(fingerprints(rows, width, id_col, text_col, seeds, digest=True).withColumn("id", F.col(id_col).cast("long")))
+    fps = hashed(named)
+    if fps.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").limit(1).count():
+        # Only one row of an id can stay, so only that one is compared.
+        nth = "_" * (1 + max(map(len, docs.columns)))
+        first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
+        named = named.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(nth)
+        fps = hashed(named)
+    nodes = cut(fps.groupBy("digest").agg(F.min(F.struct("id", *names)).alias("m")).select("m.*"))
     active, sets, gone = nodes, None, []
     for step in count():
         if step < STAR_ROUNDS:
@@ -381,10 +405,6 @@ def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, seeds: i
     if gone:
         chosen = cut(chosen.join(reduce(DataFrame.union, gone), "id", "left_anti"))
     kept = named.join(chosen.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col)), id_col, "left_semi")
-    if repeated:
-        nth = "_" * (1 + max(map(len, docs.columns)))
-        first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-        kept = kept.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1)
     return kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 
 

@@ -148,6 +148,15 @@ def test_many_unlike_candidates_take_few_rounds(spark):
     assert edges == {(i, j) for i in range(80) for j in range(min(i, 4))} | {(i, i) for i in range(5, 80)}
 
 
+def test_equal_fingerprints_of_unlike_texts_both_stay(spark):
+    run = "bar " * 300
+    unlike = [(i, run + " ".join(f"x{i}n{k}" for k in range(40))) for i in (1, 2, 3)]
+    rows = [*unlike, (9, unlike[1][1] + " end"), (8, unlike[2][1].upper() + "\n")]
+    assert len({simhash.fingerprint(t.encode(), 5) for _, t in rows}) == 1
+    kept = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
+
+
 def test_repeated_ids_keep_one_row(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (1, "z y x w v u")], "doc_id long, text string")
     assert [tuple(r) for r in simhash.one_of_each_group(df).collect()] == [(1, "a b c d e f")]
