@@ -6,7 +6,9 @@ expected tokens of each domain, ``T_k = sum_i r_i n_i p_ik``, meet their
 targets: projected gradient on ``1/2 sum_k (T_k - t_k)^2 / t_k`` from rates of
 one, each step in the metric of the documents' lengths. In that metric a step
 changes a rate by ``sum_k p_ik g_k``, so documents with the same posterior keep
-the same rate, and posteriors on a grid make one small table of all documents.
+the same rate. Documents are put into the cells of a grid of posteriors, one
+small table; a cell carries the summed tokens of its exact posteriors, and its
+documents have one rate, so that sums over cells are sums over documents.
 
 Native DataFrame code throughout. What comes to the driver is bounded: word
 counts by bucket, one sum for each domain and step.
@@ -15,6 +17,7 @@ counts by bucket, one sum for each domain and step.
 from __future__ import annotations
 
 from math import log
+from warnings import warn
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,7 +72,7 @@ def fit_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], sample
 
 
 def posteriors(docs: DataFrame, priors: list[float], weights: list[list[float]], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", evidence: float = EVIDENCE) -> DataFrame:
-    """``(id, source, n_tokens, q)`` of every row; ``q`` the posterior in steps of 1 / GRID, the last domain taking the rest."""
+    """``(id, source, n_tokens, p, q)`` of every row; ``p`` the posterior, ``q`` its cell in steps of 1 / GRID, the first domain taking the rest."""
     k = len(priors)
     sums = [F.sum(F.get(_numbers(w), F.col("b"))).alias(f"s{i}") for i, w in enumerate(weights)]
     keyed = docs.select(id_col, source_col, text_col, F.monotonically_increasing_id().alias("row"))
@@ -79,9 +82,18 @@ def posteriors(docs: DataFrame, priors: list[float], weights: list[list[float]],
     top = F.greatest(*(f"z{i}" for i in range(k))) if k > 1 else F.col("z0")
     powers = logits.select(id_col, source_col, "n_tokens", *(F.exp(F.col(f"z{i}") - top).alias(f"e{i}") for i in range(k)))
     whole = sum((F.col(f"e{i}") for i in range(1, k)), F.col("e0"))
+    p = F.array(*(F.col(f"e{i}") / whole for i in range(k)))
     steps = [F.floor(F.col(f"e{i}") / whole * GRID).cast("int") for i in range(1, k)]
     rest = F.lit(GRID) - sum(steps[1:], steps[0]) if steps else F.lit(GRID)
-    return powers.select(id_col, source_col, "n_tokens", F.array(rest, *steps).alias("q"))
+    return powers.select(id_col, source_col, "n_tokens", p.alias("p"), F.array(rest, *steps).alias("q"))
+
+
+def cells(members: DataFrame, k: int) -> DataFrame:
+    """``(cell, n_tokens, q)``: the tokens of each cell and its documents' mean posterior by tokens, in units of 1 / GRID."""
+    sums = [F.sum(F.col("n_tokens") * F.get("p", F.lit(i))).alias(f"s{i}") for i in range(k)]
+    summed = members.groupBy(F.col("q").alias("cell")).agg(F.sum("n_tokens").alias("n_tokens"), *sums)
+    mean = [F.when(F.col("n_tokens") > 0, F.col(f"s{i}") / F.col("n_tokens") * GRID).otherwise(F.get("cell", F.lit(i)).cast("double")) for i in range(k)]
+    return summed.select("cell", "n_tokens", F.array(*mean).alias("q"))
 
 
 def _rate(history: list[list[float]], k: int) -> F.Column:
@@ -100,7 +112,8 @@ def _rate(history: list[list[float]], k: int) -> F.Column:
 def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tolerance: float = TOLERANCE) -> list[list[float]]:
     """The gradient steps that lead to the rates; ``targets`` are expected tokens by domain.
 
-    Works on a table with one row for each point of the posterior grid.
+    Works on a table with one row for each point of the posterior grid. Warns
+    if the sums aren't within ``tolerance`` of the targets after ``steps``.
     """
     k = len(targets)
     points = cut(members.groupBy("q").agg(F.sum("n_tokens").cast("double").alias("n")))
@@ -114,11 +127,14 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tole
     history: list[list[float]] = []
     if not bound:
         return history
-    for _ in range(steps):
+    for step in range(steps + 1):
         sums = points.select("n", "q", _rate(history, k).alias("r")).agg(*(F.sum(F.col("n") * F.col("r") * q[i]).alias(f"t{i}") for i in range(k))).first()
         error = [(sums[f"t{i}"] or 0.0) - targets[i] for i in range(k)]
         if max(abs(e) for e in error) <= tolerance * total:
             break
+        if step == steps:
+            warn(f"targets not met after {steps} steps; expected tokens less target, by domain: {error}", stacklevel=2)
+            break
         history.append([weight[i] * error[i] / bound for i in range(k)])
     return history
 
@@ -138,9 +154,12 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
     members = cut(posteriors(docs, priors, weights, id_col, text_col, source_col, **options))
     tokens = members.agg(F.sum("n_tokens")).first()[0] or 0
     share = sum(targets.values())
-    history = fit_rates(members, [tokens * t / share for t in targets.values()])
-    p = [(F.get(F.col("q"), F.lit(i)) / GRID).alias(f"p_{d}") for i, d in enumerate(domains)]
-    return members.select(id_col, source_col, "n_tokens", *p, _rate(history, len(domains)).alias("rate"))
+    grid = cut(cells(members, len(domains)))
+    history = fit_rates(grid, [tokens * t / share for t in targets.values()])
+    p = [F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(domains)]
+    # One row for each point of the grid, which bounds the broadcast.
+    rates = F.broadcast(grid.select(F.col("cell").alias("q"), _rate(history, len(domains)).alias("rate")))
+    return members.join(rates, "q").select(id_col, source_col, "n_tokens", *p, "rate")
 
 
 def source_weights(mixed: DataFrame, source_col: str = "source") -> DataFrame:

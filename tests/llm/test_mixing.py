@@ -51,6 +51,29 @@ def test_gradient_steps_against_plain_python(spark):
     assert got == {tuple(q): pytest.approx(r) for (q, _), r in zip(rows, rates, strict=True)}
 
 
+def test_totals_against_exact_posteriors(spark):
+    # A domain's mass below one step of the grid in each document counts as well.
+    rows = [([0.99, 0.006, 0.004], [64, 0, 0], 1000), ([0.988, 0.002, 0.01], [64, 0, 0], 3000), ([0.1, 0.891, 0.009], [7, 57, 0], 20)]
+    members = spark.createDataFrame(rows, "p array<double>, q array<int>, n_tokens long")
+    grid = {tuple(r.cell): (r.n_tokens, r.q) for r in mixing.cells(members, 3).collect()}
+    assert set(grid) == {(64, 0, 0), (7, 57, 0)} and grid[64, 0, 0][0] == 4000
+    for i in range(3):
+        exact = sum(n * p[i] for p, _, n in rows)
+        assert sum(n * q[i] / mixing.GRID for n, q in grid.values()) == pytest.approx(exact, rel=1e-12)
+    docs, labels = tables(spark)
+    priors, weights = mixing.fit_weights(docs, labels, list(TARGETS))
+    exact = {r.doc_id: tuple(r.p) for r in mixing.posteriors(docs, priors, weights).collect()}
+    assert all(sum(p) == pytest.approx(1, rel=1e-12) for p in exact.values())
+    out = {r.doc_id: (r.p_clean, r.p_low, r.p_toxic) for r in mixing.mix(docs, labels, TARGETS).collect()}
+    assert out.keys() == exact.keys() and all(out[i] == pytest.approx(exact[i]) for i in exact)
+
+
+def test_targets_not_met_are_reported(spark):
+    members = spark.createDataFrame([([64, 0], 10)], "q array<int>, n_tokens long")
+    with pytest.warns(UserWarning, match="not met after 3 steps"):
+        assert len(mixing.fit_rates(members, [5.0, 5.0], steps=3)) == 3
+
+
 def test_no_python_in_the_plan(spark):
     docs, labels = tables(spark, 20)
     out = mixing.mix(docs, labels, TARGETS)
