@@ -26,6 +26,7 @@ FACTORS = 8
 SAMPLE = 8000
 THRESHOLD = 0.7
 SIGNS = b"#*$%&!|<>{}[]@=~^_"
+NON_ASCII = bytes(range(128, 256))
 N_STRUCTURE = 16
 
 _buckets: dict[bytes, int] = {}
@@ -46,6 +47,7 @@ def _structure(data: bytes, counts: Counter, n_words: int) -> list[float]:
     upper = n - len(data.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
     digits = n - len(data.translate(None, b"0123456789"))
     signs = n - len(data.translate(None, SIGNS))
+    foreign = n - len(data.translate(None, NON_ASCII)) if data else 0
     stops = data.count(b".") + data.count(b"!") + data.count(b"?")
     lines = data.split(b"\n")
     distinct_lines = len(set(lines))
@@ -68,7 +70,7 @@ def _structure(data: bytes, counts: Counter, n_words: int) -> list[float]:
         10 * stops / words,
         10 * data.count(b"|") / words,
         4 * common / words,
-        sum(b >= 128 for b in data[:: max(1, len(data) // 512)]) / 64,
+        10 * foreign / n,
         1.0 if not n_words else 0.0,
     ]
 

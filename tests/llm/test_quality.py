@@ -63,6 +63,13 @@ def test_edge_cases(spark):
     assert [r.score for r in quality.score(docs, untrained).select("score").distinct().collect()] == [0.5]
 
 
+def test_non_ascii_share_counts_every_byte():
+    share = lambda data: float(quality.features(data)[1][-2])
+    assert [share(b"\xff" * n) for n in (1, 1023, 1024, 100_000)] == [10.0] * 4
+    assert share(b"a" * 1001 + b"\xff" * 999 + b"a" * 98_000) == np.float32(10 * 999 / 100_000)
+    assert share((b"a" + b"\xff" * 9) * 10_240) == 9.0 and share(b"") == 0.0
+
+
 def test_sample_is_bounded(spark):
     docs, labels = tables(spark, 100)
     assert np.isfinite(quality.train(docs, labels, sample=10).factors).all()
