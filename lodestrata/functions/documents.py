@@ -107,7 +107,19 @@ def discogs_id(v: Column) -> Column:
     return F.coalesce(text.positive_whole(whole(v)), text.positive_whole(string(v)))
 
 
-def company_id(item: Column) -> Column:
+def _bare_name(item: Column) -> Column:
+    return text.nullif_blank(text.collapse_space(string(at(item, "name"))))
+
+
+def folded_names(items_: Column) -> Column:
+    """The names of an array of objects, folded for comparison, in the same places."""
+    return text.casefold_all(F.transform(items_, _bare_name))
+
+
+def company_id_of(item: Column, folded: Column) -> Column:
     """A company's identity: its id, else ``name:`` and the folded name, else null."""
-    folded = text.casefold(text.nullif_blank(text.collapse_space(string(at(item, "name")))))
     return F.coalesce(discogs_id(at(item, "discogs_id")), F.concat(F.lit("name:"), folded))
+
+
+def company_id(item: Column) -> Column:
+    return company_id_of(item, text.casefold(_bare_name(item)))

@@ -43,6 +43,17 @@ def casefold(c: Column) -> Column:
     return F.coalesce(F.when(ascii_only, F.lower(c)), _casefold(F.when(~ascii_only, c)))
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _casefold_each(s: pd.Series) -> pd.Series:
+    return s.map(lambda values: None if values is None else [None if x is None else x.casefold() for x in values])
+
+
+def casefold_all(c: Column) -> Column:
+    """``casefold`` of each element; only arrays with something beyond ASCII leave the JVM."""
+    plain = F.forall(c, lambda x: x.isNull() | x.rlike(r"\A[\x00-\x7f]*\z"))
+    return F.coalesce(F.when(plain, F.transform(c, lambda x: F.lower(x))), _casefold_each(F.when(~plain, c)))
+
+
 def all_digits(c: Column) -> Column:
     return c.rlike(r"\A[0-9]+\z")
 

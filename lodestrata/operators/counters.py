@@ -72,13 +72,21 @@ def label_stats(labels: DataFrame, on_label: DataFrame, by_artist: DataFrame, in
 
 def degree(ends: list[tuple[DataFrame, str]], name: str) -> DataFrame:
     """Rows in which each id stands at one of the named ends; ids without any have no row."""
-    rows = reduce(DataFrame.unionByName, (df.select(F.col(c).alias(name)) for df, c in ends))
+    by_table: list[tuple[DataFrame, list[str]]] = []
+    for df, c in ends:  # both ends of a relation come from one scan of it
+        known = next((columns for other, columns in by_table if other is df), None)
+        if known is None:
+            by_table.append((df, [c]))
+        else:
+            known.append(c)
+    rows = reduce(DataFrame.unionByName, (df.select(F.col(cs[0]).alias(name) if len(cs) == 1 else F.explode(F.array(*cs)).alias(name)) for df, cs in by_table))
     return rows.groupBy(name).agg(F.count("*").alias("degree"))
 
 
 def artist_degree(edges: dict[str, DataFrame]) -> DataFrame:
     ends = [("by_artist", "artist_id"), ("master_by_artist", "artist_id"), ("same_as", "artist_id"), ("member_of", "member_artist_id"), ("member_of", "group_artist_id"), ("alias_of", "alias_artist_id"), ("alias_of", "artist_id")]
-    return degree([(edges[r], c) for r, c in ends], "artist_id")
+    tables = {r: edges[r] for r in dict(ends)}
+    return degree([(tables[r], c) for r, c in ends], "artist_id")
 
 
 RELEASE_EDGES = ("by_artist", "on_label", "derived_from", "in_genre", "in_style", "credited_on", "credited_to", "issued_on")
@@ -121,8 +129,11 @@ VERTEX_ENDS = (
 
 
 def vertex_degree(edges: dict[str, DataFrame]) -> DataFrame:
-    """(kind, key, degree) over ten relations: one union of ends, counted within each task before the only shuffle."""
-    ends = [edges[r].select(F.lit(k).alias("kind"), F.col(c).alias("key")) for r, c, k in VERTEX_ENDS if r in edges]
+    """(kind, key, degree) over ten relations: both ends from one scan of each, counted within each task before the only shuffle."""
+    by_table: dict[str, list] = {}
+    for r, c, k in VERTEX_ENDS:
+        by_table.setdefault(r, []).append(F.struct(F.lit(k).alias("kind"), F.col(c).alias("key")))
+    ends = [edges[r].select(F.inline(F.array(*of))) for r, of in by_table.items() if r in edges]
     return reduce(DataFrame.unionByName, ends).groupBy("kind", "key").agg(F.count("*").alias("degree"))
 
 

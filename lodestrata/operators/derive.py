@@ -1,8 +1,10 @@
 """From documents to the vertex and edge rows they assert.
 
-``documents``: one row each with ``data_id`` and ``data``, a JSON string. Every
-relation is a set, so each is the distinct rows of one exploded projection; the
-document id comes first in the key of the document-scoped ones.
+``documents``: one row for each ``data_id``, with ``data``, a JSON string, and
+perhaps ``seq``, its order of arrival. Every relation is a set. Those scoped by
+a document are made distinct by array functions inside its row, without any
+shuffle; only vertices and additive edges, which several documents may assert,
+are reduced across documents.
 """
 
 from __future__ import annotations
@@ -46,7 +48,19 @@ def parsed(documents: DataFrame) -> DataFrame:
 
 
 def _pairs(docs: DataFrame, key: str, values: Column, name: str) -> DataFrame:
-    return docs.select(F.col("data_id").alias(key), F.explode(values).alias(name)).distinct()
+    """A row for each of the ``values``, which are distinct within a document."""
+    return docs.select(F.col("data_id").alias(key), F.explode(values).alias(name))
+
+
+def _in_order(docs: DataFrame, *position: Column) -> list[Column]:
+    """What orders spellings: the document's arrival, where it is known (``seq``), and the place in it."""
+    return [F.struct(F.col("seq"), *position).alias("seq")] if "seq" in docs.columns else []
+
+
+def _spellings(rows: DataFrame) -> DataFrame:
+    """Distinct rows; where there is an order (``seq``), each with the first place that it has in it."""
+    names = [c for c in rows.columns if c != "seq"]
+    return rows.distinct() if len(names) == len(rows.columns) else rows.groupBy(*names).agg(F.min("seq").alias("seq"))
 
 
 def artists(documents: DataFrame) -> Relations:
@@ -73,28 +87,34 @@ def masters(documents: DataFrame) -> Relations:
     }
 
 
-def tracks(docs: DataFrame) -> DataFrame:
-    """(release_id, track_ordinal, sub_track_ordinal, track_position, track) of tracks and sub-tracks.
+def _track_rows(docs: DataFrame, values, name: str) -> DataFrame:
+    """A row for each value that ``values(track)`` finds in a track or sub-track; a document is parsed and exploded once.
 
     Ordinals count from one over all elements, also over those that aren't
     objects and so have no row; a track itself has sub-track ordinal zero.
     """
-    top = docs.select(F.col("data_id").alias("release_id"), F.posexplode(D.unwrap(D.at(F.col("v"), "tracklist"), "track")).alias("pos", "track"))
-    top = top.where(D.is_object(F.col("track"))).select("release_id", (F.col("pos") + 1).cast("long").alias("track_ordinal"), F.lit(0).cast("long").alias("sub_track_ordinal"), "track")
-    sub = top.select("release_id", "track_ordinal", F.posexplode(D.unwrap(D.at(F.col("track"), "sub_tracks"), "track")).alias("pos", "sub"))
-    sub = sub.where(D.is_object(F.col("sub"))).select("release_id", "track_ordinal", (F.col("pos") + 1).cast("long").alias("sub_track_ordinal"), F.col("sub").alias("track"))
-    return top.unionByName(sub).withColumn("track_position", D.string(D.at(F.col("track"), "position")))
+
+    def found(track, i, k):
+        position = D.string(D.at(track, "position"))
+        return F.transform(values(track), lambda x: F.struct((i + 1).cast("long").alias("track_ordinal"), k.cast("long").alias("sub_track_ordinal"), position.alias("track_position"), x.alias(name)))
+
+    def of_track(track, i):
+        sub = F.transform(D.unwrap(D.at(track, "sub_tracks"), "track"), lambda s, k: F.when(D.is_object(s), found(s, i, k + 1)))
+        return F.when(D.is_object(track), F.concat(found(track, i, F.lit(0)), F.flatten(F.filter(sub, lambda x: x.isNotNull()))))
+
+    each = F.transform(D.unwrap(D.at(F.col("v"), "tracklist"), "track"), of_track)
+    rows = docs.select(F.col("data_id").alias("release_id"), F.explode(F.flatten(F.filter(each, lambda x: x.isNotNull()))).alias("t"))
+    return rows.select("release_id", "t.track_ordinal", "t.sub_track_ordinal", "t.track_position", f"t.{name}")
 
 
 def track_credits(docs: DataFrame) -> DataFrame:
-    credit = F.explode(D.credits(D.unwrap(D.at(F.col("track"), "extraartists"), "artist"))).alias("c")
-    rows = tracks(docs).select("release_id", "track_ordinal", "sub_track_ordinal", "track_position", credit)
+    """Credits on tracks, each (name, role, artist) of a track once."""
+    rows = _track_rows(docs, lambda track: F.array_distinct(D.credits(D.unwrap(D.at(track, "extraartists"), "artist"))), "c")
     return rows.select(F.col("c.name").alias("person_name"), "release_id", "track_ordinal", "sub_track_ordinal", "track_position", "c.role", "c.artist_id")
 
 
 def track_performers(docs: DataFrame) -> DataFrame:
-    performer = F.explode(D.ids(D.unwrap(D.at(F.col("track"), "artists"), "artist"))).alias("artist_id")
-    return tracks(docs).select("release_id", "track_ordinal", "sub_track_ordinal", "track_position", performer).distinct()
+    return _track_rows(docs, lambda track: D.ids(D.unwrap(D.at(track, "artists"), "artist")), "artist_id")
 
 
 def media_items(v: Column) -> Column:
@@ -125,52 +145,73 @@ def media_items(v: Column) -> Column:
 
 
 def release_media(docs: DataFrame) -> DataFrame:
-    """(release_id, medium_id, family, label, qty): quantities summed, the first family kept."""
-    rows = docs.select(F.col("data_id").alias("release_id"), F.posexplode(media_items(F.col("v"))).alias("pos", "m"))
-    summed = rows.groupBy("release_id", F.col("m.medium").alias("medium_id")).agg(F.min_by("m.family", "pos").alias("family"), F.sum("m.qty").alias("qty"))
-    return summed.select("release_id", "medium_id", "family", vocabulary.medium_label(F.col("medium_id")).alias("label"), "qty")
+    """(release_id, medium_id, family, label, qty): quantities summed, the first family kept, all within the row."""
+    items = F.col("items")
+
+    def summed(m):
+        same = F.filter(items, lambda i: i["medium"] == m)
+        return F.struct(m.alias("medium"), same[0]["family"].alias("family"), F.aggregate(same, F.lit(0).cast("long"), lambda n, i: n + F.coalesce(i["qty"], F.lit(0))).alias("qty"), F.exists(same, lambda i: i["qty"].isNotNull()).alias("known"))
+
+    media = F.transform(F.array_distinct(F.transform(items, lambda i: i["medium"])), summed)
+    in_order = ["seq"] if "seq" in docs.columns else []
+    listed = docs.select(F.col("data_id").alias("release_id"), *in_order, media_items(F.col("v")).alias("items"))
+    rows = listed.select("release_id", *in_order, F.posexplode(media).alias("pos", "m"))
+    medium = F.col("m.medium")
+    return rows.select("release_id", medium.alias("medium_id"), "m.family", vocabulary.medium_label(medium).alias("label"), F.when(F.col("m.known"), F.col("m.qty")).alias("qty"), *_in_order(docs, F.col("pos")))
 
 
 def release_companies(docs: DataFrame) -> DataFrame:
-    """(release_id, company_id, name, role, role_category): the first entry of a company and role wins."""
+    """(release_id, company_id, name, role, role_category): the first entry of a company and role wins, all within the row."""
     block = D.at(F.col("v"), "companies")
-    rows = docs.where(D.is_object(block)).select(F.col("data_id").alias("release_id"), F.posexplode(D.objects(D.items(D.at(block, "items")))).alias("pos", "item"))
-    item = F.col("item")
-    fields = rows.select(
-        "release_id", "pos", D.company_id(item).alias("company_id"), text.text_or_null(D.string(D.at(item, "name"))).alias("name"),
-        text.text_or_null(D.string(D.at(item, "role"))).alias("role"), text.text_or_null(D.string(D.at(item, "role_category"))).alias("category"),
+    in_order = ["seq"] if "seq" in docs.columns else []
+    items = docs.where(D.is_object(block)).select(F.col("data_id").alias("release_id"), *in_order, D.objects(D.items(D.at(block, "items"))).alias("items"))
+    named = items.withColumn("folded", D.folded_names(F.col("items")))
+    fields = F.transform(
+        "items",
+        lambda item, i: F.struct(
+            D.company_id_of(item, F.get(F.col("folded"), i)).alias("company_id"), text.text_or_null(D.string(D.at(item, "role"))).alias("role"),
+            text.text_or_null(D.string(D.at(item, "name"))).alias("name"), text.text_or_null(D.string(D.at(item, "role_category"))).alias("category"),
+        ),
     )
-    kept = fields.where(F.col("company_id").isNotNull() & F.col("role").isNotNull())
-    first = kept.groupBy("release_id", "company_id", "role").agg(F.min_by(F.struct("name", "category"), "pos").alias("f"))
-    return first.select("release_id", "company_id", F.coalesce("f.name", "company_id").alias("name"), "role", F.coalesce("f.category", F.lit(vocabulary.OTHER_ROLE)).alias("role_category"))
+    kept = named.select("release_id", *in_order, F.filter(fields, lambda f: f["company_id"].isNotNull() & f["role"].isNotNull()).alias("found"))
+    key = lambda f: F.struct(f["company_id"], f["role"])
+    keys = F.transform("found", key)
+    first = F.filter("found", lambda f, i: F.array_position(F.col("keys"), key(f)) == i + 1)
+    rows = kept.withColumn("keys", keys).select("release_id", *in_order, F.posexplode(first).alias("pos", "f"))
+    return rows.select("release_id", "f.company_id", F.coalesce("f.name", "f.company_id").alias("name"), "f.role", F.coalesce("f.category", F.lit(vocabulary.OTHER_ROLE)).alias("role_category"), *_in_order(docs, F.col("pos")))
 
 
 def releases(documents: DataFrame) -> Relations:
     docs = parsed(documents)
     v = F.col("v")
     genres, styles = D.tags(D.at(v, "genres")), D.tags(D.at(v, "styles"))
-    named = docs.select(F.col("data_id").alias("release_id"), F.explode(D.credits(D.items(D.at(v, "extraartists")))).alias("c")).select("release_id", F.col("c.name").alias("person_name"), "c.role", "c.artist_id")
+    credit = F.explode(F.array_distinct(D.credits(D.items(D.at(v, "extraartists"))))).alias("c")
+    named = docs.select(F.col("data_id").alias("release_id"), credit).select("release_id", F.col("c.name").alias("person_name"), "c.role", "c.artist_id")
+    pairs = F.array_distinct(F.transform(D.credits(D.items(D.at(v, "extraartists"))), lambda c: F.struct(c["name"].alias("name"), c["role"].alias("role"))))
     on_tracks = track_credits(docs)
     people = named.select("person_name", "artist_id").unionByName(on_tracks.select("person_name", "artist_id"))
     media, companies = release_media(docs), release_companies(docs)
     label_id = F.when(text.all_digits(F.col("company_id")), F.col("company_id"))
+    order = ["seq"] if "seq" in documents.columns else []
     return {
         "genre": docs.select(F.explode(genres).alias("name")).distinct(),
         "style": docs.select(F.explode(styles).alias("name")).distinct(),
         "person": people.select(F.col("person_name").alias("name")).distinct(),
         "media_family": media.select(F.col("family").alias("name")).distinct(),
-        "medium": media.select("medium_id", "family", "label").distinct(),
-        "company": companies.select("company_id", "name", label_id.alias("discogs_label_id")).distinct(),
+        "medium": _spellings(media.select("medium_id", "family", "label", *order)),
+        "company": _spellings(companies.select("company_id", "name", label_id.alias("discogs_label_id"), *order)),
         "by_artist": _pairs(docs, "release_id", D.ids(D.items(D.at(v, "artists"))), "artist_id"),
         "on_label": _pairs(docs, "release_id", D.ids(D.items(D.at(v, "labels"))), "label_id"),
-        "derived_from": docs.select(F.col("data_id").alias("release_id"), D.usable_id(D.at(v, "master_id")).alias("master_id")).where("master_id is not null").distinct(),
+        "derived_from": docs.select(F.col("data_id").alias("release_id"), D.usable_id(D.at(v, "master_id")).alias("master_id")).where("master_id is not null"),
         "in_genre": _pairs(docs, "release_id", genres, "genre_name"),
         "in_style": _pairs(docs, "release_id", styles, "style_name"),
-        "credited_on": named.select("person_name", "release_id", "role").distinct(),
+        "credited_on": docs.select(F.col("data_id").alias("release_id"), F.explode(pairs).alias("c")).select(F.col("c.name").alias("person_name"), "release_id", "c.role"),
         "same_as": people.where("artist_id is not null").distinct(),
         "issued_on": media.select("release_id", "medium_id", F.lit(SOURCE).alias("source"), "qty"),
         "credited_to": companies.select("release_id", "company_id", "role", "role_category", F.lit(SOURCE).alias("source")),
-        "track_credited_on": on_tracks.drop("artist_id").distinct(),
+        "track_credited_on": _track_rows(docs, lambda track: F.array_distinct(F.transform(D.credits(D.unwrap(D.at(track, "extraartists"), "artist")), lambda c: F.struct(c["name"].alias("name"), c["role"].alias("role")))), "c").select(
+            F.col("c.name").alias("person_name"), "release_id", "track_ordinal", "sub_track_ordinal", "track_position", "c.role"
+        ),
         "track_by_artist": track_performers(docs),
     }
 
@@ -186,9 +227,8 @@ def has_companies_block(documents: DataFrame) -> DataFrame:
 
 
 def with_role_category(edges: DataFrame) -> DataFrame:
-    """Adds the category of ``role``, worked out once for each distinct role."""
-    roles = edges.select("role").distinct().withColumn("role_category", vocabulary.role_category(F.col("role")))
-    return edges.join(roles, "role", "left")
+    """Adds the category of ``role``: a few comparisons in the row, cheaper than a join with the distinct roles."""
+    return edges.withColumn("role_category", vocabulary.role_category(F.col("role")))
 
 
 def part_of(in_genre: DataFrame, in_style: DataFrame, key: str = "release_id") -> DataFrame:
