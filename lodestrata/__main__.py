@@ -23,7 +23,7 @@ def main() -> int:
         store = SnapshotStore(spark, c.store)
         health = Health()
         spark.streams.addListener(health)
-        ingest = Ingest(store, c.prefix, Options(touch=c.limits.mode != "seen", strict_hash=c.strict_hash, limits=c.limits))
+        ingest = Ingest(store, c.prefix, Options(strict_hash=c.strict_hash, limits=c.limits))
         query = start(spark, c.source, c.checkpoint, ingest, c.files_per_trigger, available_now=False, interval=f"{c.batch_interval_s} seconds")
     except Exception as e:
         print(f"cannot start: {e}", file=sys.stderr)

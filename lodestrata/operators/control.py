@@ -46,6 +46,12 @@ def veto_runs(latches: DataFrame) -> DataFrame:
     return latches.withColumn("ended", ended).groupBy("entity").agg(F.count_if((F.col("ended") == 0) & F.col("vetoed")).alias("run"))
 
 
+def vetoes(loads: DataFrame) -> DataFrame:
+    """``loads(entity, version, marker, rejected)`` with ``waiting`` and ``veto``: dead letters that nobody has settled by a load's marker."""
+    so_far = Window.partitionBy("entity").orderBy("marker").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return loads.withColumn("waiting", F.sum("rejected").over(so_far)).withColumn("veto", F.when(F.col("waiting") > 0, "dead_letters"))
+
+
 def outcome_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("entity", "outcome").agg(F.count("*").alias("n"))
 
@@ -117,6 +123,42 @@ class Control:
     jobs: dict[str, Job] = field(default_factory=dict)
     generation: int = 0
     version: str | None = None
+    #: Batches with dead letters of each entity that nobody has replayed or cleared yet, and how many.
+    dead_letters: dict[str, dict[str, int]] = field(default_factory=dict)
+    #: When the list of seen keys of each entity was last started.
+    seen_opened: dict[str, datetime] = field(default_factory=dict)
+    #: The last comparison of both ways to purge, by entity.
+    shadows: dict[str, dict] = field(default_factory=dict)
+
+
+def add_dead_letters(state: Control, entity: str, batch: str, n: int) -> Control:
+    of = state.dead_letters.get(entity, {}) | {batch: n}
+    return replace(state, dead_letters=state.dead_letters | {entity: of})
+
+
+def settle_dead_letters(state: Control, entity: str) -> Control:
+    """The entity's dead letters have been replayed or given up; they veto no purge from here on."""
+    return replace(state, dead_letters={e: of for e, of in state.dead_letters.items() if e != entity})
+
+
+def waiting_dead_letters(state: Control, entity: str) -> int:
+    return sum(state.dead_letters.get(entity, {}).values())
+
+
+def open_list(state: Control, entity: str, at: datetime) -> Control:
+    return replace(state, seen_opened=state.seen_opened | {entity: at})
+
+
+def consecutive_vetoes(state: Control, entity: str) -> int:
+    """Loads in a row, newest first, whose purge of the entity was vetoed; loads without its signal are passed over."""
+    run = 0
+    for version in sorted(state.latches, reverse=True):
+        latch = state.latches[version]
+        if entity in latch.vetoed:
+            run += 1
+        elif entity in latch.signals:
+            break
+    return run
 
 
 def record_signal(state: Control, version: str, entity: str, now: datetime, vetoed: bool = False) -> tuple[Control, bool]:

@@ -23,6 +23,17 @@ def latch_complete(spark, folder):
     return control.completeness(some).select("version", F.array_join("signals", ",").alias("signals"), "complete")
 
 
+@query(
+    SIGNALS_SQL
+    + """
+select version, array_to_string(list_sort(list(distinct signal)), ',') as signals, count(distinct signal) = 4 as complete
+from signals group by version"""
+)
+def latch_all_signals(spark, folder):
+    """Every signal of the table, whereas ``latch_complete`` merges a part of them."""
+    return control.completeness(adaptor.signals(spark, folder)).select("version", F.array_join("signals", ",").alias("signals"), "complete")
+
+
 @query(SIGNALS_SQL + ", l as (select version, min(ts) as created_at from signals group by version) select version, strftime(created_at, '%Y-%m-%d %H:%M:%S') as created_at, created_at < (select max(created_at) from l) as superseded from l")
 def latch_superseded(spark, folder):
     latches = adaptor.signals(spark, folder).groupBy("version").agg(F.min("ts").alias("created_at"))
@@ -103,6 +114,19 @@ def job_health(spark, folder):
     return control.job_health(_jobs(spark, folder), adaptor.now())
 
 
+REJECTS_SQL = SIGNALS_SQL + """
+, loads as (select signal as entity, version, min(event_id) as marker, count_if(event_id % 37 = 0) as rejected from signals group by all),
+kept as (select entity, version, marker, sum(rejected) over (partition by entity order by marker) as waiting from loads)
+"""
+
+
+@query(REJECTS_SQL + "select entity, version, waiting::bigint as waiting, case when waiting > 0 then 'dead_letters' else 'none' end as veto from kept")
+def purge_veto(spark, folder):
+    """Dead letters of a load veto its purge, and those of all later loads until they are settled."""
+    loads = adaptor.signals(spark, folder).groupBy(F.col("signal").alias("entity"), "version").agg(F.min("event_id").alias("marker"), F.count_if(F.col("event_id") % 37 == 0).alias("rejected"))
+    return control.vetoes(loads).select("entity", "version", "waiting", F.coalesce("veto", F.lit("none")).alias("veto"))
+
+
 @query("select distinct event_id % 12 as attempts, least(300, pow(2, least(event_id % 12, 8))::bigint) as delay_s from events")
 def retry_backoff(spark, folder):
     attempts = table(spark, folder, "events").select((F.col("event_id") % 12).alias("attempts")).distinct()

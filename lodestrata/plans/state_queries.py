@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from ..operators import merge, purge
@@ -10,6 +12,7 @@ from . import adaptor
 from .adaptor import EDGES_SQL, LOAD_SQL, VERSIONS_SQL, Edges, shown
 from .base import query
 
+LOAD_START = datetime(2024, 1, 1)
 COLUMNS = ("data_id", "hash", "data", "media", "gm_item_id")
 
 
@@ -139,6 +142,21 @@ def stale_seen(spark, folder):
     return purge.stale_by_list(rows, seen, adaptor.started()).select("data_id")
 
 
+@query(
+    LOAD_SQL
+    + """
+, n as (select (select count(distinct data_id) from seen) as keys, (select count(distinct data_id) from seen) as produced)
+select data_id from load_table where not ((select keys >= 0.95 * produced from n) and data_id in (select data_id from stale_list))"""
+)
+def seen_purge(spark, folder):
+    """What a purge by the list of seen keys leaves: its guard holds, and the rows that are old and not listed go."""
+    rows, seen = adaptor.pages_of_load(spark, folder)
+    keys = seen.distinct().count()
+    guard = purge.seen_guard(purge.SeenList(LOAD_START, keys), LOAD_START, keys)
+    left, _ = purge.purge(rows, {}, "labels", purge.stale_by_list(rows, seen, adaptor.started()) if guard is None else rows.limit(0))
+    return left.select("data_id")
+
+
 @query(LOAD_SQL + ", n as (select count(*) as total, (select count(*) from stale_time) as stale from load_table) select total, stale, round(stale / total, 6) as fraction, stale > 0 and stale / total >= 0.9 as refused from n")
 def purge_fraction_guard(spark, folder):
     rows, _ = adaptor.pages_of_load(spark, folder)
