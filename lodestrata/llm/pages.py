@@ -1,13 +1,20 @@
 """Main text of web pages by differencing each with the page whose URL is nearest.
 
 Pages are split into lines (the text of one block each). Within a host, pages
-are ordered by URL path; each is paired with a neighbour, their lines are
-aligned by longest common subsequence, and the shared ones are taken for the
-site's template and deleted. Two rules of markup go with that. Lines inside
-elements that are never main text (navigation, headers, footers, asides, forms,
-adverts, notices, comments) go whether shared or not. And if a page names its
-main content (``article`` or ``main``), just the lines in it stay, shared or
-not: a copied article is no template.
+are ordered by URL path; each is paired with the neighbour whose path has the
+longest common beginning, their lines are aligned by longest common
+subsequence, and the shared ones are taken for the site's template and deleted.
+Two rules of markup go with that. Lines inside elements that are never main
+text (navigation, headers, footers, asides, forms, adverts, notices, comments)
+go whether shared or not. And if a page names its main content (``article`` or
+``main``), just the lines in it stay, shared or not: a copied article is no
+template. Such pages are neighbours of others, but aren't compared themselves,
+as no result could depend on it.
+
+The order is found on lean rows (host, path and a hash of the lines), dealt out
+by range, so that a host of any size is split; what a range needs to know of
+the pages beyond its ends is a page or two, worked out from one row for each
+range. Only pages that are to be compared fetch the lines of their neighbour.
 """
 
 from __future__ import annotations
@@ -16,17 +23,17 @@ import html
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sliced
+from .common import cut, sliced
 from .reputation import host_and_path
 
-#: Pages of one host and folder that are ordered together, about; a larger folder is dealt out by a hash of the path.
-GROUP = 256
-#: Large folders whose sizes are broadcast at most.
-FOLDERS = 10_000
+#: Pages of a range that are ordered together, about; results don't depend on it.
+GROUP = 50_000
+#: What pages are paired within.
+UNITS = {"host": ["host"], "folder": ["host", "folder"]}
 
 # Elements and names by their role.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "noembed", "noframes", "xmp"}
@@ -202,20 +209,103 @@ def main_lines(lines: list[str], zones: list[int], keys: list[int], neighbours:
     nearest that isn't the same page line for line is the one to compare with.
     """
     has_main = MAIN in zones
-    other = next((k for k in neighbours if k and k != keys), None)
+    other = None if has_main else next((k for k in neighbours if k and k != keys), None)
     gone = shared(keys, other) if other else [False] * len(keys)
     return [x for x, zone, deleted in zip(lines, zones, gone, strict=True) if zone == MAIN or not has_main and zone == OTHER and not deleted]
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group: int = GROUP) -> DataFrame:
+# Neighbours in the order of URLs.
+
+LEAN = ["unit", "path", "page", "key", "open"]
+
+
+def _rows(batches) -> list[tuple]:
+    return [r for b in batches for r in zip(*(b.column(k).to_pylist() for k in range(b.num_columns)), strict=True)]
+
+
+def _firsts_of_runs(rows: list[tuple]) -> list[int]:
+    """Where runs of pages that are the same line for line begin."""
+    return [i for i, r in enumerate(rows) if not i or (r[0], r[2]) != (rows[i - 1][0], rows[i - 1][2])]
+
+
+def _ends(batches):
+    """One row for a range: its first and last page, and the pages next to the first and to the last run of equal ones."""
+    rows = _rows(batches)
+    if not rows:
+        return
+    runs = _firsts_of_runs(rows)
+    of = lambda r: {"unit": r[0], "path": r[1], "page": r[2], "key": r[3]}
+    inner = [of(rows[runs[1]]), of(rows[runs[-1] - 1])] if len(runs) > 1 else [None, None]
+    page = pa.struct([("unit", pa.string()), ("path", pa.string()), ("page", pa.int64()), ("key", pa.int64())])
+    yield pa.RecordBatch.from_arrays([pa.array([rows[0][5]], pa.int32()), *(pa.array([x], page) for x in (of(rows[0]), of(rows[-1]), *inner))], ["range", "first", "last", "second", "last_but_one"])
+
+
+END = "struct<unit:string,path:string,page:bigint,key:bigint>"
+
+
+def _beyond(ends: list, forward: bool) -> dict[int, tuple | None]:
+    """For each range the (unit, path, key) of the page before it (or after it) that differs from its first (last) run."""
+    out: dict[int, tuple | None] = {}
+    last = other = None  # the nearest page so far, and the page beyond the run that this one is in
+    plain = lambda p: (p.unit, p.path, p.key)
+    for e in sorted(ends, key=lambda e: e.range, reverse=not forward):
+        near, far, inner = (e.first, e.last, e.last_but_one) if forward else (e.last, e.first, e.second)
+        if last is not None and (last.unit, last.page) == (near.unit, near.page):
+            beyond = other
+        else:
+            beyond = plain(last) if last is not None else None
+        out[e.range] = beyond
+        last, other = far, plain(inner) if inner is not None else beyond
+    return out
+
+
+def partners(lean: DataFrame, group: int = GROUP) -> DataFrame:
+    """``(key, partner)`` of the open pages among ``lean(unit, path, page, key, open, order...)``.
+
+    The partner is the nearest page of the same unit, before or after, that
+    isn't the same line for line: that with the longer common beginning of the
+    path, of equals the one before. Pages without one have no row.
+    """
+    spark = lean.sparkSession
+    order = [c for c in lean.columns if c not in ("key", "open")]
+    ranges = max(1, -(-lean.count() // group))
+    dealt = lean.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    dealt = cut(dealt.select(*LEAN, F.spark_partition_id().alias("range")))
+    ends = dealt.mapInArrow(_ends, f"range int, first {END}, last {END}, second {END}, last_but_one {END}").collect()
+    # A few numbers and two paths for each range.
+    around = spark.sparkContext.broadcast((_beyond(ends, True), _beyond(ends, False)))
+
+    def choose(batches):
+        rows = _rows(batches)
+        if not rows:
+            return
+        here, keys, chosen = rows[0][5], [], []
+        runs = [*_firsts_of_runs(rows), len(rows)]
+        plain = lambda r: (r[0], r[1], r[3])
+        for a, b in zip(runs, runs[1:], strict=False):
+            before = plain(rows[a - 1]) if a else around.value[0].get(here)
+            after = plain(rows[b]) if b < len(rows) else around.value[1].get(here)
+            for unit, path, _, key, is_open, _ in rows[a:b] if any(r[4] for r in rows[a:b]) else ():
+                near = [p for p in (before, after) if p is not None and p[0] == unit]
+                if is_open and near:
+                    keys.append(key)
+                    chosen.append(max(near, key=lambda p: _common(path, p[1]))[2])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(chosen, pa.int64())], ["key", "partner"])
+
+    return dealt.mapInArrow(choose, "key long, partner long")
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group: int = GROUP, within: str = "folder") -> DataFrame:
     """``(id, url, text)`` of every row: the main text, blocks joined by one space.
 
-    Null html counts as empty and gives the empty string. A page without a
+    Pages are paired ``within`` a host, or within a folder of it. Null html
+    counts as empty and gives the empty string. A page without a
     neighbour, or with none but copies of itself, is compared with nothing and
     keeps what markup leaves. Order within a host is by path,
     url, id and lines, so ties and repeated rows are settled; pages with null
-    urls form one host. Very long pages are aligned whole. Other columns play
-    no part; an empty table gives no rows.
+    urls form one host. Pages without text are nobody's neighbour. Very long
+    pages are aligned whole. Other columns play no part; an empty table gives
+    no rows.
     """
     host, path = host_and_path(F.col(url_col))
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"), F.col(html_col).alias("html"))
@@ -226,35 +316,25 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             made = [lines_of(h or "") for h in batch.column(4).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([[x for x, _ in m] for m in made], pa.list_(pa.string())), pa.array([[z for _, z in m] for m in made], pa.list_(pa.int32()))], [f.name for f in fields])
 
-    folder = F.regexp_extract("path", r"(?s)\A(.*/)", 1)
-    sizes = source.groupBy("host", folder.alias("folder")).agg(F.ceil(F.count("*") / F.lit(group)).cast("int").alias("deals")).where("deals > 1")
-    few = sizes.limit(FOLDERS + 1).collect()
-    if len(few) <= FOLDERS:  # broadcast only within this bound; beyond it, a join
-        sizes = F.broadcast(pages.sparkSession.createDataFrame(few, sizes.schema))
-    parsed = source.mapInArrow(parse, T.StructType(fields)).withColumn("folder", folder).withColumn("keys", F.transform("lines", lambda x: F.xxhash64(x)))
-    dealt = parsed.join(sizes, ["host", "folder"], "left").withColumn("deal", F.pmod(F.xxhash64("path"), F.coalesce("deals", F.lit(1))).cast("int"))
-    group_of, order = ["host", "folder", "deal"], ["path", "url", "id", "keys"]
-    up = Window.partitionBy(*group_of).orderBy(*order)
-    down = Window.partitionBy(*group_of).orderBy(*(F.col(c).desc() for c in order))
-
-    def neighbour(w):
-        """The nearest page in one direction that isn't the same line for line."""
-        page = F.struct("path", "keys")
-        other = F.lag(page).over(w)
-        return F.last(F.when(F.col("keys") != other["keys"], other), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-    both = dealt.withColumn("before", neighbour(up)).withColumn("after", neighbour(down))
-    paired = both.select(
-        "id", "url", "path", "lines", "zones", "keys", F.col("before.keys").alias("keys_before"), F.col("before.path").alias("path_before"), F.col("after.keys").alias("keys_after"), F.col("after.path").alias("path_after")
-    )
+    parsed = source.mapInArrow(parse, T.StructType(fields)).withColumn("folder", F.regexp_extract("path", r"(?s)\A(.*/)", 1)).withColumn("keys", F.transform("lines", lambda x: F.xxhash64(x)))
+    parsed = parsed.withColumn("page", F.xxhash64("keys")).withColumn("key", F.xxhash64("host", "path", F.coalesce("url", F.lit("\0")), F.coalesce(F.col("id").cast("string"), F.lit("\0")), "page"))
+    is_open = F.array_contains("zones", OTHER) & ~F.array_contains("zones", MAIN)
+    unit = F.concat_ws("\0", *UNITS[within])
+    # Rows that are the same in all that counts are one page here.
+    lean = cut(parsed.where(F.size("keys") > 0).select(unit.alias("unit"), "path", "url", "id", "page", "key", is_open.alias("open")).distinct())
+    if lean.where("open").limit(1).count():
+        pairs = cut(partners(lean.select("unit", "path", "url", "id", "page", "key", "open"), group))
+        others = parsed.select("key", "keys").join(pairs.select(F.col("partner").alias("key")).distinct(), "key", "left_semi").dropDuplicates(["key"])
+        near = pairs.join(others.select(F.col("key").alias("partner"), F.col("keys").alias("other")), "partner").select("key", "other")
+        paired = parsed.join(near, "key", "left")
+    else:
+        paired = parsed.withColumn("other", F.lit(None).cast("array<long>"))
 
     def compare(batches):
         for batch in sliced(batches, 256):
-            out = []
-            for r in batch.select(["path", "lines", "zones", "keys", "keys_before", "path_before", "keys_after", "path_after"]).to_pylist():
-                near = sorted(((-_common(r["path"], r[p] or ""), k, r[x]) for k, (p, x) in enumerate((("path_before", "keys_before"), ("path_after", "keys_after"))) if r[x] is not None), key=lambda x: x[:2])
-                out.append(" ".join(main_lines(r["lines"], r["zones"], r["keys"], [x for *_, x in near])))
+            columns = (batch.column(k).to_pylist() for k in range(2, 6))
+            out = [" ".join(main_lines(lines, zones, keys, [other] if other else [])) for lines, zones, keys, other in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["id", "url", "text"])
 
-    done = paired.mapInArrow(compare, T.StructType([fields[0], fields[1], T.StructField("text", T.StringType())]))
+    done = paired.select("id", "url", "lines", "zones", "keys", "other").mapInArrow(compare, T.StructType([fields[0], fields[1], T.StructField("text", T.StringType())]))
     return done.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")

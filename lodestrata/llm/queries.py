@@ -53,7 +53,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    return pages.extract(table(spark, sf_dir, "pages"), within="host").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
