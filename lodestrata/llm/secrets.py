@@ -4,7 +4,8 @@ One model is of random strings, one of ordinary identifiers. Both are
 first-order Markov chains over letters, digits and a few signs, counted over
 the whole corpus: the values that the fixed patterns find are the samples
 labelled random, the remaining tokens those labelled ordinary. A further token
-is a secret if the random model explains it better by a set margin.
+is a secret if the random model explains it better by a set margin, whatever it
+is made of: the ratio alone decides.
 """
 
 from __future__ import annotations
@@ -33,9 +34,12 @@ SYMBOLS = string.ascii_letters + string.digits + "+/_=-"
 SIZE = len(SYMBOLS) + 1
 CODES = np.zeros(256, np.uint8)
 CODES[[ord(c) for c in SYMBOLS]] = np.arange(1, SIZE)
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: Nats in all, and for each character, by which the random model has to win.
-MARGIN, MARGIN_EACH = 12.0, 0.4
+#: Runs of symbols that are judged: the least length, as for the base patterns' values.
+LEAST_TOKEN = 8
+#: Nats by which the random model has to win: the prior odds, as random strings are that much rarer than identifiers.
+MARGIN = 12.0
+#: Bytes judged at once, about.
+PIECE = 1 << 20
 
 
 def base_spans(text: str, data: bytes) -> list[tuple[int, int, int]]:
@@ -105,19 +109,39 @@ def ratio(ratios: np.ndarray, token: str) -> float:
     return float(ratios[np.concatenate([[0], codes]), np.concatenate([codes, [0]])].sum())
 
 
+def _runs(data: bytes, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, ratio) of all runs of symbols, in bytes; whole arrays at a time."""
+    codes = CODES[np.frombuffer(b" " + data + b" ", np.uint8)]
+    inside = codes != 0
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    steps = ratios.ravel()[codes[:-1].astype(np.int32) * SIZE + codes[1:]]
+    sums = np.concatenate([[0.0], np.cumsum(steps)])
+    return starts, ends, sums[ends + 1] - sums[starts]
+
+
+def markov_spans(data: bytes, ratios: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) in code points of the tokens that the random model explains better, by the margin."""
+    found, at = [], 0
+    while at < len(data):
+        end = min(len(data), at + PIECE)
+        while end < len(data) and CODES[data[end]]:  # no token is cut
+            end += 1
+        starts, ends, scores = _runs(data[at:end], ratios)
+        hit = (ends - starts >= LEAST_TOKEN) & (scores >= MARGIN)
+        found += [(at + a, at + b) for a, b in zip(starts[hit].tolist(), ends[hit].tolist(), strict=True)]
+        at = end
+    if not found or data.isascii():
+        return found
+    before = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+    place = lambda i: int(before[i - 1]) if i else 0
+    return [(place(a), place(b)) for a, b in found]
+
+
 def all_spans(text: str, data: bytes, ratios: np.ndarray) -> list[tuple[int, int, int]]:
     """Base matches, and tokens apart from them that look random, in order."""
     spans = base_spans(text, data)
-    more = []
-    for m in TOKEN.finditer(text):
-        a, b = m.span()
-        token = m[0]
-        if not any("0" <= c <= "9" for c in token) or not any(c.isalpha() for c in token):
-            continue
-        if any(x < b and a < y for x, _, y in spans):
-            continue
-        if ratio(ratios, token) >= max(MARGIN, MARGIN_EACH * len(token)):
-            more.append((a, 3, b))
+    more = [(a, 3, b) for a, b in markov_spans(data, ratios) if not any(x < b and a < y for x, _, y in spans)]
     return sorted(spans + more) if more else spans
 
 
@@ -153,7 +177,13 @@ def redacted(text: str, spans: list[tuple[int, int, int]], mark: str = "[SECRET]
 
 
 def redact(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
-    """``docs`` with secrets replaced by a mark, and the length column, where there is one, brought up to date."""
+    """``docs`` with secrets replaced by a mark, and the length column, where there is one, brought up to date.
+
+    Rows without secrets, null and empty texts among them, stay as they are,
+    with their length whatever it says; rows are handled one by one, so that
+    repeated rows, null ids and other columns make no difference; an empty
+    table gives no rows.
+    """
     model = docs.sparkSession.sparkContext.broadcast(ratios)
     at = docs.columns.index(text_col)
     lengths = docs.columns.index(length_col) if length_col in docs.columns else None

@@ -1,8 +1,10 @@
+import os
 import random
 import re
 import string
 
 import numpy as np
+import pytest
 
 from lodestrata.llm import secrets
 
@@ -58,6 +60,41 @@ def test_markov_spans(spark):
     assert [k for _, k, _ in secrets.all_spans(text, text.encode(), ratios)][0] == 0  # the base span stays
 
 
+def test_runs_against_the_plain_ratio(spark):
+    ratios = secrets.train(frame(spark, corpus(3)))
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcZ9_-+/= \n.é,日") for _ in range(5000))
+    data = text.encode()
+    for piece in (1 << 20, 64):
+        secrets.PIECE, kept = piece, secrets.PIECE
+        want = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_=-]{8,}", text) if secrets.ratio(ratios, m[0]) >= secrets.MARGIN]
+        assert secrets.markov_spans(data, ratios) == want and want
+        secrets.PIECE = kept
+
+
+def test_recall_and_precision_on_held_out_and_planted_strings(spark):
+    folder = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(folder):
+        pytest.skip("needs the test tables")
+    docs = spark.read.parquet(folder)
+    half = docs.where("crc32(cast(doc_id as string)) % 2 = 0")
+    ratios = secrets.train(half)
+    own = missed = false = tokens = 0
+    for r in docs.where("crc32(cast(doc_id as string)) % 2 = 1").collect():
+        data = (r.text or "").encode()
+        spans = secrets.base_spans(r.text or "", data)
+        for value in secrets._values(r.text or "", spans):
+            own += 1
+            missed += not secrets.markov_spans(value.encode(), ratios)
+        tokens += len(secrets._runs(data, ratios)[0])
+        false += len([s for s in secrets.all_spans(r.text or "", data, ratios) if s[1] == 3])
+    assert own > 0 and missed == 0 and false <= 1e-4 * tokens
+    rng = random.Random(4)
+    for chars, n, least in ((string.ascii_letters + string.digits, 12, 0.9), (string.ascii_letters, 16, 0.9), (string.ascii_letters + string.digits, 24, 0.99)):
+        made = ["".join(rng.choice(chars) for _ in range(n)) for _ in range(300)]
+        assert sum(bool(secrets.markov_spans(x.encode(), ratios)) for x in made) >= least * len(made), (chars, n)
+
+
 def test_scan_and_redact(spark):
     df = frame(spark, [*CASES, None, "x " * 300_000 + "token=abcdefgh1"])
     ratios = secrets.train(df)
