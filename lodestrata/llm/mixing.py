@@ -1,7 +1,11 @@
 """Mixing sources to target weights, with soft membership in domains.
 
 A naive Bayes classifier, fitted on the labelled table, gives every document a
-posterior over domains. Nonnegative document rates are then fitted so that the
+posterior over domains. Its features are the words that a text contains and the
+shapes of its tokens (letters and digits as one ``a``); of those, the ones that
+tell domains apart with statistical weight are kept, and how much they count and
+the priors are calibrated so that on the labelled rows posteriors are as large
+as they are often right. Nonnegative document rates are then fitted so that the
 expected tokens of each domain, ``T_k = sum_i r_i n_i p_ik``, meet their
 targets: projected gradient on ``1/2 sum_k (T_k - t_k)^2 / t_k`` from rates of
 one, each step in the metric of the documents' lengths. In that metric a step
@@ -10,13 +14,13 @@ the same rate. Documents are put into the cells of a grid of posteriors, one
 small table; a cell carries the summed tokens of its exact posteriors, and its
 documents have one rate, so that sums over cells are sums over documents.
 
-Native DataFrame code throughout. What comes to the driver is bounded: word
-counts by bucket, one sum for each domain and step.
+Native DataFrame code throughout. What comes to the driver is bounded: the log
+likelihoods of the labelled rows, one sum for each domain and step.
 """
 
 from __future__ import annotations
 
-from math import log
+from math import exp, log
 from warnings import warn
 
 from pyspark.sql import DataFrame
@@ -24,14 +28,18 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-BUCKETS = 4096
 #: Labelled rows to fit on at most; as text, they are read where they are.
 SAMPLE = 8000
-#: Words' worth of evidence that a document of any length counts for.
-EVIDENCE = 32.0
+#: Features that are kept: in so many labelled rows, with odds so many standard errors from one, and by that factor (natural logarithm).
+LEAST_ROWS, LEAST_Z, LEAST_LIFT = 5, 3.5, 1.5
+#: Features kept at most, those with the greatest weight of evidence; this bounds the broadcast.
+FEATURES = 4096
+#: By how much evidence may be discounted, since features of a text depend on each other.
+DISCOUNTS = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 10.0)
 #: Steps of the posterior grid; with K domains it has at most (GRID + 1) ** (K - 1) points.
 GRID = 64
-STEPS, TOLERANCE = 80, 1e-4
+#: Steps at most; those beyond the tolerance aren't taken.
+STEPS, TOLERANCE = 1000, 1e-4
 
 #: Production domains, and their share of all tokens.
 TARGETS = {"clean": 0.92, "low": 0.05, "toxic": 0.03}
@@ -41,10 +49,28 @@ def domain_of_labels(quality: F.Column, toxic: F.Column) -> F.Column:
     return F.when(toxic == 1, "toxic").when(quality == 0, "low").when(quality == 1, "clean")
 
 
-def _tokens(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
-    """A row for each word, or one with a null bucket for a text without words."""
-    words = F.filter(F.split(F.lower(F.coalesce(text_col, F.lit(""))), "[ \\t\\n\\r]+"), lambda w: w != "")
-    return df.select(*keep, F.explode_outer(words).alias("w")).select(*keep, F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b"), F.col("w").isNotNull().alias("is_word"))
+#: ASCII that isn't part of a word.
+SEPARATORS = "[\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+"
+SPACES = "[ \\t\\n\\r]+"
+
+
+def _n_tokens(text: F.Column) -> F.Column:
+    bare = F.regexp_replace(text, f"^{SPACES}|{SPACES}$", "")
+    return F.when(bare == "", 0).otherwise(F.size(F.split(bare, SPACES))).cast("long")
+
+
+def _features(text: F.Column) -> F.Column:
+    """The distinct words of a text, and behind a space each the distinct shapes of its tokens, four characters of them."""
+    low = F.lower(text)
+    shapes = F.split(F.regexp_replace(low, "[0-9a-z\\x80-\\x{10ffff}]+", "a"), SPACES)
+    short = F.transform(F.array_distinct(shapes), lambda s: F.concat(F.lit(" "), s.substr(1, 4)))
+    return F.array_distinct(F.concat(F.array_distinct(F.split(low, SEPARATORS)), short))
+
+
+def _exploded(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
+    """A row for each feature of each row of ``df``."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return df.select(*keep, F.explode(_features(text)).alias("f"))
 
 
 def _numbers(values: list[float]) -> F.Column:
@@ -52,40 +78,90 @@ def _numbers(values: list[float]) -> F.Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
-def fit_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[float], list[list[float]]]:
-    """Log priors, and for each domain the log-likelihoods of word buckets, smoothed by one.
-
-    ``labelled(id, domain)``; rows with null id or a domain not named don't count.
+def _informative(counts: DataFrame, totals: list[int]) -> DataFrame:
+    """``(f, w0, w1 ...)``: log-likelihoods by domain of the features that tell domains apart, from ``counts(f, n0, n1 ...)``."""
+    k, rows = len(totals), sum(totals)
+    n = [F.col(f"n{i}") for i in range(k)]
+    seen = sum(n[1:], n[0])
+    weights = []
+    for i, of in enumerate(totals):
+        a, b, c, d = n[i] + 0.5, seen - n[i] + 0.5, F.lit(of) - n[i] + 0.5, F.lit(rows - of) - (seen - n[i]) + 0.5
+        odds = F.log(a * d / (b * c))
+        z = F.abs(odds) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+        weights.append(F.when(F.abs(odds) >= LEAST_LIFT, z).otherwise(0.0))
+    best = F.greatest(*weights) if k > 1 else F.lit(0.0)
+    kept = counts.where(seen >= LEAST_ROWS).withColumn("z", best).where(F.col("z") >= LEAST_Z).orderBy(F.col("z").desc(), "f").limit(FEATURES)
+    return kept.select("f", *(F.log((n[i] + 0.5) / F.lit(totals[i] + 1.0)).alias(f"w{i}") for i in range(k)))
+
+
+def _softmax(z: list[float]) -> list[float]:
+    top = max(z)
+    e = [exp(x - top) for x in z]
+    return [x / sum(e) for x in e]
+
+
+def _calibrated(rows: list[tuple[int, int, list[float]]], priors: list[float], rounds: int = 40) -> tuple[float, list[float]]:
+    """(discount, log priors) with the least loss on ``rows`` of (times, domain, log-likelihoods), of those whose mean posteriors are the domains' shares."""
+    k, total = len(priors), sum(times for times, *_ in rows)
+    share = [sum(times for times, d, _ in rows if d == i) / total if total else 0.0 for i in range(k)]
+    if min(share, default=0.0) <= 0.0:  # a domain without labelled rows has no share to be held to
+        return 1.0, priors
+    best = None
+    for discount in DISCOUNTS:
+        log_priors = list(priors)
+        for step in range(rounds + 1):
+            p = [_softmax([log_priors[i] + x[i] / discount for i in range(k)]) for _, _, x in rows]
+            if step < rounds:
+                mean = [sum(t * q[i] for (t, *_), q in zip(rows, p, strict=True)) / total for i in range(k)]
+                if max(abs(m - s) for m, s in zip(mean, share, strict=True)) < 1e-4:
+                    break
+                log_priors = [w + log(s) - log(max(m, 1e-12)) for w, s, m in zip(log_priors, share, mean, strict=True)]
+        loss = -sum(t * log(max(q[d], 1e-12)) for (t, d, _), q in zip(rows, p, strict=True))
+        if best is None or loss < best[0]:
+            best = loss, discount, log_priors
+    return best[1], best[2]
+
+
+def fit_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[float], DataFrame]:
+    """Log priors, and ``(f, w0, w1 ...)``: what a feature adds to each domain's logit.
+
+    ``labelled(id, domain)``; rows with null id or a domain not named don't
+    count. Fitted on at most ``sample`` ids, those with the least hash.
     """
+    k = len(domains)
     rows = labelled.where(F.col(id_col).isNotNull() & F.col("domain").isin(domains))
     chosen = rows.groupBy(id_col).agg(F.min("domain").alias("domain")).orderBy(F.xxhash64(id_col), id_col).limit(sample)
+    number = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")) - 1
     # At most `sample` rows, which bounds the broadcast.
-    texts = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)
-    counts = _tokens(texts, text_col, "domain").where("is_word").groupBy("b").agg(*(F.count_if(F.col("domain") == d).alias(f"n{k}") for k, d in enumerate(domains)))
-    number = dict(chosen.groupBy("domain").count().collect())
-    by_bucket = [[1.0] * BUCKETS for _ in domains]
-    for row in counts.collect():
-        for k in range(len(domains)):
-            by_bucket[k][row["b"]] += row[f"n{k}"]
-    priors = [log((number.get(d, 0) + 1) / (sum(number.values()) + len(domains))) for d in domains]
-    return priors, [[log(x / sum(of)) for x in of] for of in by_bucket]
-
-
-def posteriors(docs: DataFrame, priors: list[float], weights: list[list[float]], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", evidence: float = EVIDENCE) -> DataFrame:
+    texts = docs.select(id_col, text_col).join(F.broadcast(chosen.select(id_col, number.cast("int").alias("d"))), id_col).select("d", text_col)
+    found = cut(_exploded(texts.withColumn("row", F.monotonically_increasing_id()), text_col, "row", "d"))
+    counts = {r["d"]: r["n"] for r in found.groupBy("d").agg(F.count_distinct("row").alias("n")).collect()}
+    totals = [counts.get(i, 0) for i in range(k)]
+    priors = [log((n + 1) / (sum(totals) + k)) for n in totals]
+    by_feature = found.groupBy("f").agg(*(F.count_if(F.col("d") == i).alias(f"n{i}") for i in range(k)))
+    weights = cut(_informative(by_feature, totals))
+    sums = found.join(F.broadcast(weights), "f", "left").groupBy("row", "d").agg(*(F.round(F.coalesce(F.sum(f"w{i}"), F.lit(0.0)), 6).alias(f"s{i}") for i in range(k)))
+    names = [f"s{i}" for i in range(k)]
+    evidence = sums.groupBy("d", *names).agg(F.count("*").alias("times")).orderBy("d", *names).collect()
+    discount, priors = _calibrated([(r["times"], r["d"], [r[n] for n in names]) for r in evidence], priors)
+    return priors, weights.select("f", *((F.col(f"w{i}") / discount).alias(f"w{i}") for i in range(k)))
+
+
+def posteriors(docs: DataFrame, priors: list[float], weights: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``(id, source, n_tokens, p, q)`` of every row; ``p`` the posterior, ``q`` its cell in steps of 1 / GRID, the first domain taking the rest."""
     k = len(priors)
-    sums = [F.sum(F.get(_numbers(w), F.col("b"))).alias(f"s{i}") for i, w in enumerate(weights)]
-    keyed = docs.select(id_col, source_col, text_col, F.monotonically_increasing_id().alias("row"))
-    each = _tokens(keyed, text_col, id_col, source_col, "row").groupBy("row", id_col, source_col).agg(F.count_if("is_word").alias("n_tokens"), *sums)
-    scale = F.when(F.col("n_tokens") > 0, F.least(F.lit(1.0), evidence / F.col("n_tokens"))).otherwise(0.0)
-    logits = each.select(id_col, source_col, "n_tokens", *((F.lit(priors[i]) + F.coalesce(F.col(f"s{i}"), F.lit(0.0)) * scale).alias(f"z{i}") for i in range(k)))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), _n_tokens(text).alias("n_tokens"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    found = _exploded(keyed, "text", "row", "id", "source", "n_tokens").join(F.broadcast(weights), "f", "left")
+    each = found.groupBy("row", "id", "source", "n_tokens").agg(*(F.sum(f"w{i}").alias(f"s{i}") for i in range(k)))
+    logits = each.select("id", "source", "n_tokens", *((F.lit(priors[i]) + F.coalesce(F.col(f"s{i}"), F.lit(0.0))).alias(f"z{i}") for i in range(k)))
     top = F.greatest(*(f"z{i}" for i in range(k))) if k > 1 else F.col("z0")
-    powers = logits.select(id_col, source_col, "n_tokens", *(F.exp(F.col(f"z{i}") - top).alias(f"e{i}") for i in range(k)))
+    powers = logits.select("id", "source", "n_tokens", *(F.exp(F.col(f"z{i}") - top).alias(f"e{i}") for i in range(k)))
     whole = sum((F.col(f"e{i}") for i in range(1, k)), F.col("e0"))
     p = F.array(*(F.col(f"e{i}") / whole for i in range(k)))
     steps = [F.floor(F.col(f"e{i}") / whole * GRID).cast("int") for i in range(1, k)]
     rest = F.lit(GRID) - sum(steps[1:], steps[0]) if steps else F.lit(GRID)
-    return powers.select(id_col, source_col, "n_tokens", p.alias("p"), F.array(rest, *steps).alias("q"))
+    return powers.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "n_tokens", p.alias("p"), F.array(rest, *steps).alias("q"))
 
 
 def cells(members: DataFrame, k: int) -> DataFrame:
@@ -112,8 +188,11 @@ def _rate(history: list[list[float]], k: int) -> F.Column:
 def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tolerance: float = TOLERANCE) -> list[list[float]]:
     """The gradient steps that lead to the rates; ``targets`` are expected tokens by domain.
 
-    Works on a table with one row for each point of the posterior grid. Warns
-    if the sums aren't within ``tolerance`` of the targets after ``steps``.
+    Works on a table with one row for each point of the posterior grid, summed
+    over all documents. Those points are then one array, and all steps one
+    expression over it: by turns the gradient is summed over the points, and
+    their rates move. Warns if the sums aren't within ``tolerance`` of the
+    targets after ``steps``.
     """
     k = len(targets)
     points = cut(members.groupBy("q").agg(F.sum("n_tokens").cast("double").alias("n")))
@@ -124,22 +203,38 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tole
     weight = [1 / max(t, 1e-3 * total) for t in targets]
     gram = points.agg(*(F.sum(F.col("n") * q[i] * q[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(k))).first()
     bound = max(sum(abs(gram[f"m{i}_{j}"] or 0.0) * (weight[i] * weight[j]) ** 0.5 for j in range(k)) for i in range(k))
-    history: list[list[float]] = []
     if not bound:
-        return history
-    for step in range(steps + 1):
-        sums = points.select("n", "q", _rate(history, k).alias("r")).agg(*(F.sum(F.col("n") * F.col("r") * q[i]).alias(f"t{i}") for i in range(k))).first()
-        error = [(sums[f"t{i}"] or 0.0) - targets[i] for i in range(k)]
-        if max(abs(e) for e in error) <= tolerance * total:
-            break
-        if step == steps:
-            warn(f"targets not met after {steps} steps; expected tokens less target, by domain: {error}", stacklevel=2)
-            break
-        history.append([weight[i] * error[i] / bound for i in range(k)])
-    return history
-
-
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+        return []
+
+    def expected(state, i):
+        each = F.zip_with("points", state["rates"], lambda p, r: p["n"] * r * F.get(p["q"], F.lit(i)) / GRID)
+        return F.aggregate(each, F.lit(0.0), lambda x, y: x + y)
+
+    def state(rates, errors, history, done):
+        return F.struct(rates.alias("rates"), errors.alias("errors"), history.alias("history"), done.alias("done"))
+
+    def gradient(s):
+        return [F.get(s["errors"], F.lit(i)) * F.lit(weight[i] / bound) for i in range(k)]
+
+    def turn(s, t):
+        summed = state(s["rates"], F.array(*(expected(s, i) - F.lit(targets[i]) for i in range(k))), s["history"], s["done"])
+        near = F.array_max(F.transform(s["errors"], F.abs)) <= F.lit(tolerance * total)
+        g = gradient(s)
+        rates = F.zip_with("points", s["rates"], lambda p, r: F.greatest(F.lit(0.0), r - sum((F.get(p["q"], F.lit(i)) * g[i] for i in range(1, k)), F.get(p["q"], F.lit(0)) * g[0]) / GRID))
+        moved = state(rates, s["errors"], F.concat(s["history"], F.array(F.array(*g))), F.lit(False))
+        settled = state(s["rates"], s["errors"], s["history"], F.lit(True))
+        return F.when(s["done"], s).when(t % 2 == 0, summed).when(near, settled).otherwise(moved)
+
+    start = state(F.transform("points", lambda p: F.lit(1.0)), F.array(*[F.lit(0.0)] * k), F.array().cast("array<array<double>>"), F.lit(False))
+    packed = points.agg(F.collect_list(F.struct(F.col("n"), F.transform("q", lambda x: x.cast("double")).alias("q"))).alias("points"))
+    # Steps come after even turns, so a last sum follows the last step.
+    run = packed.select(F.aggregate(F.sequence(F.lit(0), F.lit(2 * steps)), start, turn).alias("s")).select("s.history", "s.errors", "s.done").first()
+    if not run.done and max(abs(e) for e in run.errors) > tolerance * total:
+        warn(f"targets not met after {steps} steps; expected tokens less target, by domain: {list(run.errors)}", stacklevel=2)
+    return [list(g) for g in run.history]
+
+
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``(id, source, n_tokens, p_<domain>..., rate)`` of every row.
 
     ``targets`` maps each domain to its share of all tokens. A document's rate
@@ -151,14 +246,14 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
     """
     domains = list(targets)
     priors, weights = fit_weights(docs, labelled, domains, id_col=id_col, text_col=text_col)
-    members = cut(posteriors(docs, priors, weights, id_col, text_col, source_col, **options))
+    members = cut(posteriors(docs, priors, weights, id_col, text_col, source_col))
     tokens = members.agg(F.sum("n_tokens")).first()[0] or 0
     share = sum(targets.values())
     grid = cut(cells(members, len(domains)))
     history = fit_rates(grid, [tokens * t / share for t in targets.values()])
     p = [F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(domains)]
     # One row for each point of the grid, which bounds the broadcast.
-    rates = F.broadcast(grid.select(F.col("cell").alias("q"), _rate(history, len(domains)).alias("rate")))
+    rates = F.broadcast(grid.withColumn("rate", _rate(history, len(domains))).select(F.col("cell").alias("q"), "rate"))
     return members.join(rates, "q").select(id_col, source_col, "n_tokens", *p, "rate")
 
 

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -68,6 +69,32 @@ def test_totals_against_exact_posteriors(spark):
     assert out.keys() == exact.keys() and all(out[i] == pytest.approx(exact[i]) for i in exact)
 
 
+def test_posteriors_on_held_out_rows(spark):
+    """Fitted on three quarters of the labelled rows: the loss on the rest, and how far mean posteriors are from the shares."""
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("needs the test tables")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    named = labels.select("doc_id", mixing.domain_of_labels(F.col("quality"), F.col("toxic")).alias("domain")).where("domain is not null")
+    held = F.expr("crc32(cast(doc_id as string)) % 4 = 2")
+    domains = list(mixing.TARGETS)
+    rows = docs.join(named, "doc_id")
+    priors, weights = mixing.fit_weights(docs, named.where(~held), domains)
+    out = mixing.posteriors(rows.where(held), priors, weights).join(named, "doc_id")
+    own = F.get("p", F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("int") - 1)
+    got = out.agg(F.avg(-F.log(own)).alias("loss"), *(F.avg(F.get("p", F.lit(i))).alias(f"p{i}") for i in range(3)), *(F.avg((F.col("domain") == d).cast("int")).alias(f"s{i}") for i, d in enumerate(domains))).first()
+    assert got.loss < 0.3  # a constant posterior has 0.72
+    assert all(abs(got[f"p{i}"] - got[f"s{i}"]) < 0.03 for i in range(3))
+    assert out.where("domain = 'toxic'").agg(F.avg(F.get("p", F.lit(2)))).first()[0] > 0.7
+
+
+def test_features(spark):
+    df = spark.createDataFrame([("The tree*** is, THE é-b", 5), ("", 0), (" \t\n", 0), (None, 0), ("a", 1), (" a\r\nb ", 2)], "t string, n int")
+    got = df.select(mixing._features(F.coalesce("t", F.lit(""))).alias("f"), mixing._n_tokens(F.coalesce("t", F.lit(""))).alias("k"), "n").collect()
+    assert all(r.k == r.n for r in got)
+    assert set(got[0].f) == {"the", "tree", "is", "é", "b", " a", " a***", " a,", " a-a"}
+
+
 def test_targets_not_met_are_reported(spark):
     members = spark.createDataFrame([([64, 0], 10)], "q array<int>, n_tokens long")
     with pytest.warns(UserWarning, match="not met after 3 steps"):
