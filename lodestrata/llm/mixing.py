@@ -2,10 +2,10 @@
 
 A naive Bayes classifier, fitted on the labelled table, gives every document a
 posterior over domains. Its features are the words that a text contains and the
-shapes of its tokens (letters and digits as one ``a``); of those, the ones that
-tell domains apart with statistical weight are kept, and how much they count and
-the priors are calibrated so that on the labelled rows posteriors are as large
-as they are often right. Nonnegative document rates are then fitted so that the
+signs that its tokens end in; of those, the ones that tell domains apart with
+statistical weight are kept, and how much they count and the priors are
+calibrated so that on the labelled rows posteriors are as large as they are
+often right. Nonnegative document rates are then fitted so that the
 expected tokens of each domain, ``T_k = sum_i r_i n_i p_ik``, meet their
 targets: projected gradient on ``1/2 sum_k (T_k - t_k)^2 / t_k`` from rates of
 one, each step in the metric of the documents' lengths. In that metric a step
@@ -20,10 +20,11 @@ likelihoods of the labelled rows, one sum for each domain and step.
 
 from __future__ import annotations
 
-from math import exp, log
+from math import log
 from warnings import warn
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -32,8 +33,8 @@ from .common import cut
 SAMPLE = 8000
 #: Features that are kept: in so many labelled rows, with odds so many standard errors from one, and by that factor (natural logarithm).
 LEAST_ROWS, LEAST_Z, LEAST_LIFT = 5, 3.5, 1.5
-#: Features kept at most, those with the greatest weight of evidence; this bounds the broadcast.
-FEATURES = 4096
+#: Features kept at most, those with the greatest weight of evidence; a text's are one bit each.
+FEATURES = 256
 #: By how much evidence may be discounted, since features of a text depend on each other.
 DISCOUNTS = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 10.0)
 #: Steps of the posterior grid; with K domains it has at most (GRID + 1) ** (K - 1) points.
@@ -49,28 +50,17 @@ def domain_of_labels(quality: F.Column, toxic: F.Column) -> F.Column:
     return F.when(toxic == 1, "toxic").when(quality == 0, "low").when(quality == 1, "clean")
 
 
-#: ASCII that isn't part of a word.
-SEPARATORS = "[\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+"
 SPACES = "[ \\t\\n\\r]+"
+#: Signs that are no part of a word at its ends.
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def _n_tokens(text: F.Column) -> F.Column:
-    bare = F.regexp_replace(text, f"^{SPACES}|{SPACES}$", "")
-    return F.when(bare == "", 0).otherwise(F.size(F.split(bare, SPACES))).cast("long")
-
-
-def _features(text: F.Column) -> F.Column:
-    """The distinct words of a text, and behind a space each the distinct shapes of its tokens, four characters of them."""
-    low = F.lower(text)
-    shapes = F.split(F.regexp_replace(low, "[0-9a-z\\x80-\\x{10ffff}]+", "a"), SPACES)
-    short = F.transform(F.array_distinct(shapes), lambda s: F.concat(F.lit(" "), s.substr(1, 4)))
-    return F.array_distinct(F.concat(F.array_distinct(F.split(low, SEPARATORS)), short))
-
-
-def _exploded(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
-    """A row for each feature of each row of ``df``."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.select(*keep, F.explode(_features(text)).alias("f"))
+def _token_rows(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
+    """A row for each token: its ``word``, and its ``tail`` of up to three signs behind a space. A text without tokens has one with neither."""
+    low = F.btrim(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(" \t\n\r"))
+    rows = df.select(*keep, F.explode_outer(F.split(low, SPACES)).alias("t")).withColumn("bare", F.rtrim("t", F.lit(SIGNS)))
+    word = F.when(F.col("t") != "", F.ltrim("bare", F.lit(SIGNS)))
+    return rows.select(*keep, word.alias("word"), F.when(F.col("t") != "", F.concat(F.lit(" "), F.substr("t", F.char_length("bare") + 1, F.lit(3)))).alias("tail"))
 
 
 def _numbers(values: list[float]) -> F.Column:
@@ -78,8 +68,14 @@ def _numbers(values: list[float]) -> F.Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
+def _sum_of_bits(bits: F.Column, values: list[float]) -> F.Column:
+    """The sum of the ``values`` whose bit is set."""
+    each = F.zip_with(F.sequence(F.lit(0), F.lit(63)), _numbers(values), lambda b, w: F.when(F.call_function("getbit", bits, b) == 1, w).otherwise(0.0))
+    return F.aggregate(each, F.lit(0.0), lambda x, y: x + y)
+
+
 def _informative(counts: DataFrame, totals: list[int]) -> DataFrame:
-    """``(f, w0, w1 ...)``: log-likelihoods by domain of the features that tell domains apart, from ``counts(f, n0, n1 ...)``."""
+    """``(f, i, w0, w1 ...)``: number and log-likelihoods by domain of the features that tell domains apart, from ``counts(f, n0, n1 ...)``."""
     k, rows = len(totals), sum(totals)
     n = [F.col(f"n{i}") for i in range(k)]
     seen = sum(n[1:], n[0])
@@ -90,40 +86,35 @@ def _informative(counts: DataFrame, totals: list[int]) -> DataFrame:
         z = F.abs(odds) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
         weights.append(F.when(F.abs(odds) >= LEAST_LIFT, z).otherwise(0.0))
     best = F.greatest(*weights) if k > 1 else F.lit(0.0)
-    kept = counts.where(seen >= LEAST_ROWS).withColumn("z", best).where(F.col("z") >= LEAST_Z).orderBy(F.col("z").desc(), "f").limit(FEATURES)
-    return kept.select("f", *(F.log((n[i] + 0.5) / F.lit(totals[i] + 1.0)).alias(f"w{i}") for i in range(k)))
-
-
-def _softmax(z: list[float]) -> list[float]:
-    top = max(z)
-    e = [exp(x - top) for x in z]
-    return [x / sum(e) for x in e]
+    kept = cut(counts.where((F.col("f") != "") & (seen >= LEAST_ROWS)).withColumn("z", best).where(F.col("z") >= LEAST_Z).orderBy(F.col("z").desc(), "f").limit(FEATURES))
+    numbered = kept.withColumn("i", F.row_number().over(Window.orderBy(F.col("z").desc(), "f")) - 1)
+    return numbered.select("f", "i", *(F.log((n[i] + 0.5) / F.lit(totals[i] + 1.0)).alias(f"w{i}") for i in range(k)))
 
 
-def _calibrated(rows: list[tuple[int, int, list[float]]], priors: list[float], rounds: int = 40) -> tuple[float, list[float]]:
-    """(discount, log priors) with the least loss on ``rows`` of (times, domain, log-likelihoods), of those whose mean posteriors are the domains' shares."""
-    k, total = len(priors), sum(times for times, *_ in rows)
-    share = [sum(times for times, d, _ in rows if d == i) / total if total else 0.0 for i in range(k)]
-    if min(share, default=0.0) <= 0.0:  # a domain without labelled rows has no share to be held to
+def _calibrated(times: np.ndarray, domain: np.ndarray, evidence: np.ndarray, priors: list[float], rounds: int = 40) -> tuple[float, list[float]]:
+    """(discount, log priors) with the least loss on rows of log-likelihoods, of those whose mean posteriors are the domains' shares."""
+    share = np.bincount(domain, times, len(priors)) / max(1, times.sum())
+    if not share.all():  # a domain without labelled rows has no share to be held to
         return 1.0, priors
     best = None
     for discount in DISCOUNTS:
-        log_priors = list(priors)
+        log_priors = np.array(priors)
         for step in range(rounds + 1):
-            p = [_softmax([log_priors[i] + x[i] / discount for i in range(k)]) for _, _, x in rows]
-            if step < rounds:
-                mean = [sum(t * q[i] for (t, *_), q in zip(rows, p, strict=True)) / total for i in range(k)]
-                if max(abs(m - s) for m, s in zip(mean, share, strict=True)) < 1e-4:
-                    break
-                log_priors = [w + log(s) - log(max(m, 1e-12)) for w, s, m in zip(log_priors, share, mean, strict=True)]
-        loss = -sum(t * log(max(q[d], 1e-12)) for (t, d, _), q in zip(rows, p, strict=True))
+            z = log_priors + evidence / discount
+            p = np.exp(z - z.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            mean = (times[:, None] * p).sum(axis=0) / times.sum()
+            if step == rounds or np.abs(mean - share).max() < 1e-4:
+                break
+            log_priors += np.log(share) - np.log(np.maximum(mean, 1e-12))
+        loss = -(times * np.log(np.maximum(p[np.arange(len(p)), domain], 1e-12))).sum()
         if best is None or loss < best[0]:
-            best = loss, discount, log_priors
+            best = loss, discount, log_priors.tolist()
     return best[1], best[2]
 
 
 def fit_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[float], DataFrame]:
-    """Log priors, and ``(f, w0, w1 ...)``: what a feature adds to each domain's logit.
+    """Log priors, and ``(f, i, w0, w1 ...)``: what a feature adds to each domain's logit.
 
     ``labelled(id, domain)``; rows with null id or a domain not named don't
     count. Fitted on at most ``sample`` ids, those with the least hash.
@@ -134,7 +125,8 @@ def fit_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], sample
     number = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")) - 1
     # At most `sample` rows, which bounds the broadcast.
     texts = docs.select(id_col, text_col).join(F.broadcast(chosen.select(id_col, number.cast("int").alias("d"))), id_col).select("d", text_col)
-    found = cut(_exploded(texts.withColumn("row", F.monotonically_increasing_id()), text_col, "row", "d"))
+    tokens = _token_rows(texts.withColumn("row", F.monotonically_increasing_id()), text_col, "row", "d")
+    found = cut(tokens.select("row", "d", F.explode(F.array(F.coalesce("word", F.lit("")), F.coalesce("tail", F.lit("")))).alias("f")).distinct())
     counts = {r["d"]: r["n"] for r in found.groupBy("d").agg(F.count_distinct("row").alias("n")).collect()}
     totals = [counts.get(i, 0) for i in range(k)]
     priors = [log((n + 1) / (sum(totals) + k)) for n in totals]
@@ -143,18 +135,35 @@ def fit_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], sample
     sums = found.join(F.broadcast(weights), "f", "left").groupBy("row", "d").agg(*(F.round(F.coalesce(F.sum(f"w{i}"), F.lit(0.0)), 6).alias(f"s{i}") for i in range(k)))
     names = [f"s{i}" for i in range(k)]
     evidence = sums.groupBy("d", *names).agg(F.count("*").alias("times")).orderBy("d", *names).collect()
-    discount, priors = _calibrated([(r["times"], r["d"], [r[n] for n in names]) for r in evidence], priors)
-    return priors, weights.select("f", *((F.col(f"w{i}") / discount).alias(f"w{i}") for i in range(k)))
+    discount, priors = _calibrated(np.array([r["times"] for r in evidence], float), np.array([r["d"] for r in evidence], int), np.array([[r[n] for n in names] for r in evidence]).reshape(-1, k), priors)
+    return priors, weights.select("f", "i", *((F.col(f"w{i}") / discount).alias(f"w{i}") for i in range(k)))
 
 
 def posteriors(docs: DataFrame, priors: list[float], weights: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``(id, source, n_tokens, p, q)`` of every row; ``p`` the posterior, ``q`` its cell in steps of 1 / GRID, the first domain taking the rest."""
     k = len(priors)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), _n_tokens(text).alias("n_tokens"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
-    found = _exploded(keyed, "text", "row", "id", "source", "n_tokens").join(F.broadcast(weights), "f", "left")
-    each = found.groupBy("row", "id", "source", "n_tokens").agg(*(F.sum(f"w{i}").alias(f"s{i}") for i in range(k)))
-    logits = each.select("id", "source", "n_tokens", *((F.lit(priors[i]) + F.coalesce(F.col(f"s{i}"), F.lit(0.0))).alias(f"z{i}") for i in range(k)))
+    keyed = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    masks = range(FEATURES // 64)
+    # At most FEATURES rows, which bounds the broadcasts.
+    bits = [F.when(F.floor(F.col("i") / 64) == m, F.expr("shiftleft(1L, cast(i % 64 as int))")).otherwise(F.lit(0).cast("long")) for m in masks]
+    of_word = F.broadcast(weights.select(F.col("f").alias("word"), *(bits[m].alias(f"a{m}") for m in masks)))
+    of_tail = F.broadcast(weights.select(F.col("f").alias("tail"), *(bits[m].alias(f"b{m}") for m in masks)))
+    found = _token_rows(keyed, "text", "row", "id", "source").join(of_word, "word", "left").join(of_tail, "tail", "left")
+    zero = F.lit(0).cast("long")
+    has = [F.bit_or(F.coalesce(f"a{m}", zero).bitwiseOR(F.coalesce(f"b{m}", zero))).alias(f"has{m}") for m in masks]
+    each = found.groupBy("row", "id", "source").agg(F.count("word").alias("n_tokens"), *has)
+    table = {r["i"]: [r[f"w{j}"] for j in range(k)] for r in weights.collect()}
+
+    def evidence(j):
+        """What the features that a text has add to the logit of domain ``j``."""
+        total = F.lit(0.0)
+        for m in masks:
+            here = [table[i][j] if i in table else 0.0 for i in range(64 * m, 64 * m + 64)]
+            if any(here):
+                total += _sum_of_bits(F.col(f"has{m}"), here)
+        return total
+
+    logits = each.select("id", "source", "n_tokens", *((F.lit(priors[i]) + evidence(i)).alias(f"z{i}") for i in range(k)))
     top = F.greatest(*(f"z{i}" for i in range(k))) if k > 1 else F.col("z0")
     powers = logits.select("id", "source", "n_tokens", *(F.exp(F.col(f"z{i}") - top).alias(f"e{i}") for i in range(k)))
     whole = sum((F.col(f"e{i}") for i in range(1, k)), F.col("e0"))

@@ -88,11 +88,11 @@ def test_posteriors_on_held_out_rows(spark):
     assert out.where("domain = 'toxic'").agg(F.avg(F.get("p", F.lit(2)))).first()[0] > 0.7
 
 
-def test_features(spark):
-    df = spark.createDataFrame([("The tree*** is, THE é-b", 5), ("", 0), (" \t\n", 0), (None, 0), ("a", 1), (" a\r\nb ", 2)], "t string, n int")
-    got = df.select(mixing._features(F.coalesce("t", F.lit(""))).alias("f"), mixing._n_tokens(F.coalesce("t", F.lit(""))).alias("k"), "n").collect()
-    assert all(r.k == r.n for r in got)
-    assert set(got[0].f) == {"the", "tree", "is", "é", "b", " a", " a***", " a,", " a-a"}
+def test_tokens(spark):
+    df = spark.createDataFrame([("The tree*** is, (THE) é-b |", 6), ("", 0), (" \t\n", 0), (None, 0), ("a", 1), (" a\r\nb ", 2)], "t string, n int")
+    got = mixing._token_rows(df.withColumn("row", F.monotonically_increasing_id()), "t", "row", "n").groupBy("row", "n").agg(F.count("word").alias("k"), F.collect_list(F.struct("word", "tail")).alias("x")).collect()
+    assert len(got) == 6 and all(r.k == r.n for r in got)
+    assert [tuple(x) for r in got if r.n == 6 for x in r.x] == [("the", " "), ("tree", " ***"), ("is", " ,"), ("the", " )"), ("é-b", " "), ("", " |")]
 
 
 def test_targets_not_met_are_reported(spark):
