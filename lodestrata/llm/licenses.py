@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 
 from .common import as_bytes, rows_of, sliced
 
-# Public license statements and the opening terms of public licenses.
+# Public license statements, the opening terms of public licenses, and whole texts of the shorter ones.
+_BSD_DISCLAIMER = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
@@ -34,11 +35,20 @@ TEMPLATES = {
     "MIT-terms": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    # Whole texts.
+    "0BSD-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "BSD-2-Clause-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+    + _BSD_DISCLAIMER,
+    "BSD-3-Clause-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+    + _BSD_DISCLAIMER,
+    "BSL-1.0-text": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
 }
 
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+(?:[.-][a-z0-9]+)*")
-#: Share of a template's words that have to align.
-COVERAGE = 0.8
+#: Share of a template's words that have to align; of a statement shorter than so many words, all that name the license as well.
+COVERAGE, SHORT = 0.8, 25
 
 
 def words_with_bounds(data: bytes) -> tuple[list[bytes], list[tuple[int, int]]]:
@@ -96,11 +106,21 @@ def patience(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _names_of(text: str) -> frozenset[int]:
+    """The places of the words of a statement of under ``SHORT`` words that begin with a capital or hold a digit, the first word left out."""
+    data = text.encode()
+    found = [data[a:b] for a, b in words_with_bounds(data)[1]]
+    if len(found) >= SHORT:
+        return frozenset()
+    return frozenset(i for i, w in enumerate(found) if i and (w[:1].isupper() or any(48 <= c <= 57 for c in w)))
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE):
         self.coverage = coverage
         self.templates = [(name, w, Counter(w)) for name, text in sorted(templates.items()) if (w := words_with_bounds(text.encode())[0])]
         self.vocabulary = {w for _, words, _ in self.templates for w in words}
+        self.required = {tuple(words_with_bounds(t.encode())[0]): _names_of(t) for t in templates.values()}
 
     def scan(self, data: bytes) -> list[tuple[str, float, int, int]]:
         """(template, coverage, start, end) of each match, in bytes, in order."""
@@ -115,30 +135,64 @@ class Scanner:
         return sorted(out, key=lambda m: (m[2], m[3], m[0]))
 
     def _places(self, words: list[bytes], template: list[bytes], counts: Counter):
-        """Stretches of the text in which template words lie close together, and how well each aligns."""
-        at = [i for i, w in enumerate(words) if w in counts]
-        stretches: list[list[int]] = []
-        for i in at:
-            if stretches and i - stretches[-1][-1] <= max(3, len(template) // 4):
-                stretches[-1].append(i)
-            else:
-                stretches.append([i])
-        for s in stretches:
-            first, end = s[0], s[-1] + 1
-            while len(template) * self.coverage <= end - first:
-                pairs = patience(words[first:end], template)
-                if len(pairs) < self.coverage * len(template):
+        """Every place of the text that aligns well enough, in order, none within another: (coverage, first word, last word).
+
+        A place spans at most 5/4 of the template's words. Where the next words
+        of that number hold enough of the template's, whatever their order, the
+        place nearby that holds the most is aligned, else this one; the search
+        goes on behind a match, or an eighth of the template further.
+        """
+        need, span, hop = self.coverage * len(template), len(template) + len(template) // 4, max(1, len(template) // 8)
+        at, held = 0, self._overlaps(words, counts, span)
+        tried: set[int] = set()
+        while at < len(words):
+            if held[at] < need:
+                at += 1
+                continue
+            near = range(at, min(len(words), at + len(template) // 2 + 1))
+            for place in (max(near, key=lambda i: (held[i], -i)), at):
+                if place in tried:
+                    continue
+                tried.add(place)
+                pairs = patience(words[place : place + span], template)
+                if len(pairs) >= need and self._named(pairs, template):
+                    yield len(pairs) / len(template), place + pairs[0][0], place + pairs[-1][0]
+                    at = place + pairs[-1][0] + 1
                     break
-                # Aligned words may be pulled apart by an early or late stray one.
-                yield len(pairs) / len(template), first + pairs[0][0], first + pairs[-1][0]
-                first += pairs[-1][0] + 1
+            else:
+                at += hop
+
+    @staticmethod
+    def _overlaps(words: list[bytes], counts: Counter, span: int) -> list[int]:
+        """For each place, how many words of the template, repeats counted, the next ``span`` words hold; in one pass from the end."""
+        have: Counter = Counter()
+        total, out = 0, [0] * len(words)
+        for i in range(len(words) - 1, -1, -1):
+            w = words[i]
+            if w in counts:
+                have[w] += 1
+                total += have[w] <= counts[w]
+            if i + span < len(words):
+                w = words[i + span]
+                if w in counts:
+                    total -= have[w] <= counts[w]
+                    have[w] -= 1
+            out[i] = total
+        return out
+
+    def _named(self, pairs: list[tuple[int, int]], template: list[bytes]) -> bool:
+        """Whether the words of a short statement that name the license and its version are all there."""
+        required = self.required[tuple(template)]
+        return required <= {j for _, j in pairs}
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, matches)`` of every row: license, coverage, start and end in bytes of the text.
 
-    Every stretch of the whole text that aligns with enough of a template is a
-    match. Null and empty texts have none. Rows are handled one by one, so
+    Every place of the whole text that aligns with enough of a template is a
+    match; those of one template don't overlap, those of several may, each with
+    its own coverage, and are ordered by start, end and name. Null and empty
+    texts have none. Rows are handled one by one, so
     repeated rows, null ids and other columns make no difference; an empty
     table gives no rows.
     """
