@@ -11,6 +11,10 @@ Phase three resolves the missing entries of the rest and keeps the best k.
 
 Queries are taken in waves of at most ``wave``; only a wave's vectors and
 cutoffs are ever broadcast.
+
+The lists aren't stored in order anywhere, so each phase multiplies all of a
+wave's queries with all candidates: the cutoffs bound what is sent and sorted,
+not the multiplications.
 """
 
 from __future__ import annotations
@@ -101,15 +105,18 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, lists: int = L
         own = queries.where(F.pmod(F.xxhash64("id"), F.lit(waves)) == w).orderBy("id").collect()
         for at in range(0, len(own), wave):
             some = own[at : at + wave]
-            parts.append(_wave(spark, np.array([r.id for r in some]), [r.v for r in some], candidates, dims, k, lists))
+            found, sent = _wave(spark, np.array([r.id for r in some]), [r.v for r in some], candidates, dims, k, lists)
+            if n > wave:  # a wave's result is written and its broadcasts let go of before the next
+                found = cut(found)
+                for b in sent:
+                    b.unpersist()
+            parts.append(found)
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    found = reduce(DataFrame.unionByName, parts)
-    ordered = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _wave(spark, ids: np.ndarray, vectors: list, candidates: DataFrame, dims: int, k: int, lists: int) -> DataFrame:
+def _wave(spark, ids: np.ndarray, vectors: list, candidates: DataFrame, dims: int, k: int, lists: int) -> tuple[DataFrame, list]:
     matrix = np.zeros((len(ids), dims))
     for i, v in enumerate(vectors):
         matrix[i, : len(v)] = v
@@ -178,7 +185,10 @@ def _wave(spark, ids: np.ndarray, vectors: list, candidates: DataFrame, dims: in
             if out_q:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_c, out_s)], ["query_id", "vec_id", "score"])
 
-    return candidates.mapInArrow(collect, T.StructType([T.StructField(c, T.LongType()) for c in ("query_id", "vec_id", "score")]))
+    found = candidates.mapInArrow(collect, T.StructType([T.StructField(c, T.LongType()) for c in ("query_id", "vec_id", "score")]))
+    ordered = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score"), [sent, cutoffs]
 
 
 def scaled(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", by: float = 64.0) -> DataFrame:
