@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, sliced
+from .common import as_bytes, cut, sliced
 
 WINDOW = 13
-#: Windows that one broadcast holds at most; a larger benchmark is searched for in several passes.
-PASS_WINDOWS = 500_000
+#: Windows that one pass holds at most, about 1 KB each in a Python worker; a larger benchmark is searched for in several passes.
+PASS_WINDOWS = 100_000
 
 #: Bytes that are not part of a word become spaces; A-Z become a-z.
 WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -101,10 +101,13 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _annotated(docs: DataFrame, items: DataFrame, names: tuple[str, str, str], size: int, text_col: str, item_col: str, item_text: str, most: int) -> DataFrame:
-    """``docs`` and, under ``names``, the number of words, the spans and the items of each row."""
+    """``docs`` and, under ``names``, the number of words, the spans and the items of each row.
+
+    One table of patterns is built, sent and held at a time: passes are cut
+    from each other, and a table is let go of before the next is built.
+    """
     sc = docs.sparkSession.sparkContext
     named = items.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string"), as_bytes(item_text))
-    tables = [sc.broadcast(WuManber(p)) for p in _passes(named, size, most)] or [sc.broadcast(WuManber({}))]
     added = list(zip(names, (T.LongType(), SPANS, T.ArrayType(T.StringType())), strict=True))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in added)])
     at, own = docs.columns.index(text_col), len(docs.columns)
@@ -133,9 +136,16 @@ def _annotated(docs: DataFrame, items: DataFrame, names: tuple[str, str, str], s
         return run
 
     out = docs.select("*", *(F.lit(None).cast(t).alias(n) for n, t in added))
-    for table in tables:
+    passes = _passes(named, size, most)
+    patterns = next(passes, {})
+    while True:
+        table = sc.broadcast(WuManber(patterns))
         out = out.mapInArrow(step(table), schema)
-    return out
+        patterns = next(passes, None)
+        if patterns is None:
+            return out
+        out = cut(out)
+        table.unpersist()
 
 
 def overlaps(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most: int = PASS_WINDOWS) -> DataFrame:
