@@ -139,19 +139,24 @@ def fit_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], sample
     return priors, weights.select("f", "i", *((F.col(f"w{i}") / discount).alias(f"w{i}") for i in range(k)))
 
 
+def _row_hash(id_col: str, source_col: str, text_col: str) -> F.Column:
+    """The same for rows that are the same in what a rate depends on; nulls differ from all else."""
+    return F.xxhash64(*(x for c in (id_col, source_col, text_col) for x in (F.col(c), F.col(c).isNull())))
+
+
 def posteriors(docs: DataFrame, priors: list[float], weights: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``(id, source, n_tokens, p, q)`` of every row; ``p`` the posterior, ``q`` its cell in steps of 1 / GRID, the first domain taking the rest."""
+    """``(id, source, h, n_tokens, p, q)`` of every row; ``p`` the posterior, ``q`` its cell in steps of 1 / GRID, the first domain taking the rest, ``h`` a hash of the row."""
     k = len(priors)
-    keyed = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    keyed = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"), _row_hash(id_col, source_col, text_col).alias("h"))
     masks = range(FEATURES // 64)
     # At most FEATURES rows, which bounds the broadcasts.
     bits = [F.when(F.floor(F.col("i") / 64) == m, F.expr("shiftleft(1L, cast(i % 64 as int))")).otherwise(F.lit(0).cast("long")) for m in masks]
     of_word = F.broadcast(weights.select(F.col("f").alias("word"), *(bits[m].alias(f"a{m}") for m in masks)))
     of_tail = F.broadcast(weights.select(F.col("f").alias("tail"), *(bits[m].alias(f"b{m}") for m in masks)))
-    found = _token_rows(keyed, "text", "row", "id", "source").join(of_word, "word", "left").join(of_tail, "tail", "left")
+    found = _token_rows(keyed, "text", "row", "id", "source", "h").join(of_word, "word", "left").join(of_tail, "tail", "left")
     zero = F.lit(0).cast("long")
     has = [F.bit_or(F.coalesce(f"a{m}", zero).bitwiseOR(F.coalesce(f"b{m}", zero))).alias(f"has{m}") for m in masks]
-    each = found.groupBy("row", "id", "source").agg(F.count("word").alias("n_tokens"), *has)
+    each = found.groupBy("row", "id", "source", "h").agg(F.count("word").alias("n_tokens"), *has)
     table = {r["i"]: [r[f"w{j}"] for j in range(k)] for r in weights.collect()}
 
     def evidence(j):
@@ -163,14 +168,14 @@ def posteriors(docs: DataFrame, priors: list[float], weights: DataFrame, id_col:
                 total += _sum_of_bits(F.col(f"has{m}"), here)
         return total
 
-    logits = each.select("id", "source", "n_tokens", *((F.lit(priors[i]) + evidence(i)).alias(f"z{i}") for i in range(k)))
+    logits = each.select("id", "source", "h", "n_tokens", *((F.lit(priors[i]) + evidence(i)).alias(f"z{i}") for i in range(k)))
     top = F.greatest(*(f"z{i}" for i in range(k))) if k > 1 else F.col("z0")
-    powers = logits.select("id", "source", "n_tokens", *(F.exp(F.col(f"z{i}") - top).alias(f"e{i}") for i in range(k)))
+    powers = logits.select("id", "source", "h", "n_tokens", *(F.exp(F.col(f"z{i}") - top).alias(f"e{i}") for i in range(k)))
     whole = sum((F.col(f"e{i}") for i in range(1, k)), F.col("e0"))
     p = F.array(*(F.col(f"e{i}") / whole for i in range(k)))
     steps = [F.floor(F.col(f"e{i}") / whole * GRID).cast("int") for i in range(1, k)]
     rest = F.lit(GRID) - sum(steps[1:], steps[0]) if steps else F.lit(GRID)
-    return powers.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "n_tokens", p.alias("p"), F.array(rest, *steps).alias("q"))
+    return powers.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "h", "n_tokens", p.alias("p"), F.array(rest, *steps).alias("q"))
 
 
 def cells(members: DataFrame, k: int) -> DataFrame:
@@ -243,14 +248,15 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tole
     return [list(g) for g in run.history]
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``(id, source, n_tokens, p_<domain>..., rate)`` of every row.
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: bool = False) -> DataFrame:
+    """``(id, source, n_tokens, p_<domain>..., rate)`` of every row; with ``keep``, instead the rows of ``docs`` with these behind them.
 
     ``targets`` maps each domain to its share of all tokens. A document's rate
     is how often it is to be read: nonnegative, zero leaves it out. Texts that
     are null or without words have no tokens and the prior's posterior; a
     domain that no document belongs to stays short of its target. Repeated rows
-    count each, null ids and sources are kept, other columns play no part; an
+    count each, null ids and sources are kept, other columns play no part (with
+    ``keep`` one that is named like a new one gives way to it); an
     empty table gives no rows, and without labelled rows all domains are alike.
     """
     domains = list(targets)
@@ -263,7 +269,14 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
     p = [F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(domains)]
     # One row for each point of the grid, which bounds the broadcast.
     rates = F.broadcast(grid.withColumn("rate", _rate(history, len(domains))).select(F.col("cell").alias("q"), "rate"))
-    return members.join(rates, "q").select(id_col, source_col, "n_tokens", *p, "rate")
+    rated = members.join(rates, "q")
+    if not keep:
+        return rated.select(id_col, source_col, "n_tokens", *p, "rate")
+    added = ["n_tokens", *(f"p_{d}" for d in domains), "rate"]
+    key = "_" * (1 + max(map(len, docs.columns)))
+    once = rated.select(F.col("h").alias(key), "n_tokens", *p, "rate").groupBy(key).agg(*(F.min(c).alias(c) for c in added))
+    own = [c for c in docs.columns if c not in added]
+    return docs.select(*own, _row_hash(id_col, source_col, text_col).alias(key)).join(once, key).select(*own, *added)
 
 
 def source_weights(mixed: DataFrame, source_col: str = "source") -> DataFrame:

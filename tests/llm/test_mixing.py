@@ -107,6 +107,18 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in out._jdf.queryExecution().toString() and "Arrow" not in out._jdf.queryExecution().toString()
 
 
+def test_rows_keep_their_columns(spark):
+    docs, labels = tables(spark, 40)
+    odd = spark.createDataFrame([(None, "tree", None, "x"), (None, None, "s", "x"), (None, "idiot", "s", "y"), (7, "tree", "s", "x"), (7, "tree", "s", "z")], docs.schema)
+    docs = docs.unionByName(odd).withColumn("rate", F.lit("old")).withColumn("h", F.lit(1))
+    out = mixing.mix(docs, labels, TARGETS, keep=True)
+    assert out.columns == ["doc_id", "text", "source", "q", "h", "n_tokens", "p_clean", "p_low", "p_toxic", "rate"]
+    plain = {(r.doc_id, r.source, r.n_tokens, round(r.rate, 9)) for r in mixing.mix(docs, labels, TARGETS).collect()}
+    got = out.collect()
+    assert len(got) == 45 and {(r.doc_id, r.source, r.n_tokens, round(r.rate, 9)) for r in got} == plain
+    assert sorted((r.doc_id, r.text, r.source, r.q) for r in got if r.doc_id is not None) == sorted(tuple(r)[:4] for r in docs.collect() if r.doc_id is not None)
+
+
 def test_edge_cases(spark):
     docs, labels = tables(spark, 30)
     odd = spark.createDataFrame([(None, "tree", None, "x"), (500, None, "s", "x"), (501, " \n ", "s", "x"), (502, "tree", "s", "x"), (502, "tree", "s", "x"), (503, "tree " * 200_000, "s", "x")], docs.schema)

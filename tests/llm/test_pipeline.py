@@ -56,9 +56,33 @@ def test_stages_against_plain_python(spark, tmp_path):
     assert stage_docs.where(F.col("rate") < 0).count() == 0
 
 
+def test_odd_documents(spark, tmp_path):
+    """Nulls, empty texts, repeated rows and extra columns with the operators' own names go through all stages; so does an empty table."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    schema = docs.schema
+    first = docs.orderBy("doc_id").first()
+    odd = spark.createDataFrame([(None, None, None, None, None), (9001, "", "en", "s", 0), (9002, None, "en", "s", 0), tuple(first), (9003, "word " * 50_000, "en", None, 250_000)], schema)
+    both = docs.unionByName(odd).withColumn("rate", F.lit("r")).withColumn("spans", F.lit(1)).withColumn("score", F.lit("x")).withColumn("fp", F.lit(None).cast("int"))
+    for rows in (both, both.limit(0)):
+        stage_docs = rows
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            before = stage_docs
+            out = f"{tmp_path}/{rows is both}-{k}"
+            stage(spark, before, FOLDER).write.parquet(out)
+            stage_docs = spark.read.parquet(out)
+            assert stage_docs.count() <= before.count()
+            assert {r.doc_id for r in stage_docs.select("doc_id").collect()} <= {r.doc_id for r in before.select("doc_id").collect()}
+            if k < 4:
+                assert stage_docs.columns == before.columns
+        assert set(stage_docs.columns) > {"doc_id", "text", "spans", "score", "fp", "rate", "n_tokens"}
+        assert (stage_docs.count() > 0) == (rows is both)
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, FOLDER)
-    assert out.count() > 0 and "rate" in out.columns
+    assert out.count() > 0 and {"doc_id", "text", "rate"} <= set(out.columns)
+    written = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    assert all(len(os.listdir(f"{written}/{d}")) == 1 for d in os.listdir(written) if d.startswith("pipeline-"))
 
 
 def test_queries_return_the_contract(spark):
