@@ -36,10 +36,11 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A rate for each document, so that the expected tokens of each domain meet their targets."""
+    """The documents, each with a rate at which the expected tokens of the domains meet their targets.
+    """
     labels = table(spark, sf_dir, "labels")
     labelled = labels.select("doc_id", mixing.domain_of_labels(F.col("quality"), F.col("toxic")).alias("domain"))
-    return mixing.mix(docs, labelled, TARGETS)
+    return mixing.mix(docs, labelled, TARGETS, keep=True)
 
 
 STAGES = [
@@ -55,11 +56,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; intermediate tables go to the shared checkpoint folder."""
+    """All stages over ``documents``: the documents that are left, redacted, with their domains and rates.
+
+    Intermediate tables go to the shared checkpoint folder; each is deleted
+    once the next has been written, and the last is what is returned. Nulls,
+    empty texts and repeated rows are treated as each stage's operator says; an
+    empty table gives no rows.
+    """
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            files.delete(path(f"{folder}/{k - 1}"), True)
     return docs
