@@ -23,7 +23,8 @@ the others is induced from them, as in external induced sorting:
 Repetition that is plain is taken out first: whole copies of texts, and anchors
 whose context has been seen in the same text. A shard is split before it becomes
 large: where more than ``crowd`` texts share one k-gram, each of their windows is
-dealt out by its own content. Nothing is dropped, and comparisons are of bytes
+dealt out by its own content. Such k-grams are looked for before anything is
+dealt out by k-gram, so that the anchors of a crowd never meet in one task. Nothing is dropped, and comparisons are of bytes
 (of SHA-256 for whole texts), so other hashes decide only where work is done.
 """
 
@@ -47,6 +48,11 @@ LENGTH = 100
 GRAM = 24
 #: Texts with one k-gram whose tuples are sorted together at most.
 CROWD = 50_000
+#: A task reports the k-grams that so many of its texts share; ``SEGMENT`` k-grams are held at once for that.
+LOCAL = 8
+SEGMENT = 1 << 22
+#: k-grams of crowds that are broadcast at most (8 MB); more are joined by a shuffle.
+NAMED = 1 << 20
 #: Bytes hashed at once; longer texts are taken in overlapping pieces.
 PIECE = 1 << 20
 #: Tuples induced at once, about.
@@ -165,7 +171,11 @@ def expanded(packed: int, more: bytes | None) -> list[int]:
 
 
 def repeated_only(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordBatch]:
-    """Rows (h, doc, copy, packed, more) that share their ``h`` or stand for several anchors, with a mark on those of a crowd; rows come sorted by ``h``."""
+    """Rows (h, doc, copy, packed, more) that share their ``h`` or stand for several anchors, with a mark on those of a crowd.
+
+    Rows come sorted by ``h``, with a sixth column that tells those whose
+    k-gram is known to have a crowd, of which there may be more elsewhere.
+    """
     held: list[np.ndarray] | None = None
     crowded = None
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
@@ -176,13 +186,13 @@ def repeated_only(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.
         begins = _runs(h)
         sizes = np.diff(np.append(begins, end))
         size = np.repeat(sizes, sizes)
-        mark = size > crowd
+        mark = (size > crowd) | columns[5][:end]
         if crowded is not None:
             mark |= h == crowded
         keep = (size > 1) | mark | np.array([m is not None for m in columns[4][:end]], bool)
         if mark.any():
             crowded = h[np.flatnonzero(mark)[-1]]
-        return pa.RecordBatch.from_arrays([pa.array(c[:end][keep], t) for c, t in zip(columns, types, strict=True)] + [pa.array(mark[keep])], ["h", "doc", "copy", "packed", "more", "crowded"])
+        return pa.RecordBatch.from_arrays([pa.array(c[:end][keep], t) for c, t in zip(columns, types, strict=False)] + [pa.array(mark[keep])], ["h", "doc", "copy", "packed", "more", "crowded"])
 
     for batch in batches:
         new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -404,6 +414,38 @@ def _batched(rows: Iterator[tuple], types: list[tuple[str, pa.DataType]], size:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*held, strict=True), types, strict=True)], names)
 
 
+def _crowd_grams(texts: DataFrame, length: int, gram: int, crowd: int) -> DataFrame:
+    """``(h)``: k-grams that more than ``crowd`` texts share.
+
+    Counted where the texts are. A k-gram that a task meets in fewer than
+    ``LOCAL`` texts isn't reported by it, so one that is not found here has at
+    most ``crowd`` texts and ``LOCAL - 1`` more for each task's segment.
+    """
+    few, segment = min(LOCAL, crowd), SEGMENT
+
+    def often(held):
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h[n >= few]), pa.array(n[n >= few])], ["h", "n"])
+
+    def counts(batches):
+        held, size = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                which, h, _ = find_anchors(batch.column(0).slice(at, 256).to_pylist(), length, gram)
+                order = np.lexsort((h, which))
+                which, h = which[order], h[order]
+                held.append(h[_runs(which, h)])
+                size += len(held[-1])
+                if size >= segment:
+                    yield often(held)
+                    held, size = [], 0
+        if held:
+            yield often(held)
+
+    some = texts.select("t").mapInArrow(counts, "h long, n long")
+    return cut(some.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > crowd).select("h"))
+
+
 def _repeated_anchors(texts: DataFrame, length: int, gram: int, crowd: int) -> DataFrame:
     """``(doc, copy, calm, busy)``: for each text its anchors whose k-gram occurs again."""
 
@@ -416,7 +458,15 @@ def _repeated_anchors(texts: DataFrame, length: int, gram: int, crowd: int) -> D
                 yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in (h, doc, copy, packed)), pa.array(more, pa.binary())], ["h", "doc", "copy", "packed", "more"])
 
     found = texts.mapInArrow(anchors, "h long, doc long, copy int, packed long, more binary")
-    shared = found.repartition("h").sortWithinPartitions("h").mapInArrow(lambda b: repeated_only(b, crowd), "h long, doc long, copy int, packed long, more binary, crowded boolean")
+    crowds = _crowd_grams(texts, length, gram, crowd)
+    if named := crowds.count():
+        crowds = crowds.select("h", F.lit(True).alias("named"))
+        found = found.join(F.broadcast(crowds) if named <= NAMED else crowds, "h", "left")
+        found = found.select("h", "doc", "copy", "packed", "more", F.coalesce("named", F.lit(False)).alias("named"))
+        dealt = found.repartition("h", F.when(F.col("named"), F.xxhash64("doc", "copy")).otherwise(0))
+    else:
+        dealt = found.withColumn("named", F.lit(False)).repartition("h")
+    shared = dealt.sortWithinPartitions("h").mapInArrow(lambda b: repeated_only(b, crowd), "h long, doc long, copy int, packed long, more binary, crowded boolean")
     calm = F.collect_list(F.when(~F.col("crowded"), F.struct("h", "packed", "more")))
     busy = F.collect_list(F.when(F.col("crowded"), F.struct("h", "packed", "more")))
     return cut(shared.groupBy("doc", "copy").agg(calm.alias("calm"), busy.alias("busy")))

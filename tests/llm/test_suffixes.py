@@ -51,6 +51,29 @@ def test_long_text_in_pieces(spark, monkeypatch):
     assert run(spark, rows, 30, gram=8) == brute(rows, 30)
 
 
+@pytest.mark.parametrize("named", [1 << 20, 0])
+def test_crowds_are_dealt_out(spark, monkeypatch, named):
+    """A k-gram in most texts: found before the shuffle, its rows in several partitions, the result the same."""
+    monkeypatch.setattr(suffixes, "LOCAL", 2)
+    monkeypatch.setattr(suffixes, "SEGMENT", 300)
+    monkeypatch.setattr(suffixes, "NAMED", named)
+    rng = random.Random(3)
+    word = lambda n: bytes(97 + rng.randrange(26) for _ in range(n))
+    passage = word(80)
+    rows = [(i, word(20 + i) + (passage if i % 4 else passage[5:70]) + word(30)) for i in range(120)]
+    rows += [(i, word(200)) for i in range(120, 160)] + [(None, passage), (7, None), (8, b"")]
+    texts = suffixes._numbered(spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text binary"), "doc_id", "text")
+    anchors = {}
+    for i, t in enumerate(t or b"" for _, t in rows):
+        for h in set(suffixes.find_anchors([t], 30, 8)[1].tolist()):
+            anchors.setdefault(h, set()).add(i)
+    found = {r.h for r in suffixes._crowd_grams(texts, 30, 8, 40).collect()}
+    assert found == {h for h, of in anchors.items() if len(of) > 40} and found
+    marked = suffixes._repeated_anchors(texts, 30, 8, 40).collect()
+    assert {x.h for r in marked for x in r.busy} == found and not {x.h for r in marked for x in r.calm} & found
+    assert run(spark, rows, 30, gram=8, crowd=40) == brute(rows, 30)
+
+
 def test_empty_table(spark):
     assert run(spark, [], 100) == []
 
