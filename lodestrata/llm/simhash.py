@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations, count, islice
+from itertools import combinations, groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,11 @@ SEED = 42
 UNIT = 4096
 #: Compared at once at the trie's leaves.
 LEAF_PAIRS = 1 << 20
-#: Rounds of the exact check in which a whole group is compared with its first, before units are compared one by one.
-STAR_ROUNDS = 3
+#: Documents of a group that one task of the exact check compares with each other; Spark cuts off the others before its shuffle up to 1000.
+GROUP = 1000
+#: Entries of an inverted list of shingles that are held at once.
+POSTINGS = 1 << 22
+SETS = "root long, id long, set binary"
 
 
 def shingle_hashes(data: bytes, width: int) -> Iterator[np.ndarray]:
@@ -322,32 +325,98 @@ def simhash_groups(docs: DataFrame, width: int = 4, budget: int = 4, id_col: str
     return fps.join(of_fp, "fp").select(id_col, "fp", "component_id")
 
 
-def _shingle_sets(docs: DataFrame, ids: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """``(id, set)`` for the ids in ``ids(id)``: the sorted distinct hashes of a text's shingles, as bytes."""
+def _shingle_sets(docs: DataFrame, groups: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """``(root, id, set)`` for the rows of ``groups(root, id)``: the sorted distinct hashes of a text's shingles, as bytes."""
 
     def run(batches):
         for batch in sliced(batches):
             sets = [np.unique(np.concatenate([h.astype(np.uint64) for h in shingle_hashes(t, width)] or [np.zeros(0, np.uint64)])).tobytes() for (t,) in rows_of([batch], "t")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "set"])
-
-    wanted = docs.select(F.col(id_col).cast("long").alias("id"), as_bytes(text_col).alias("t")).join(ids, "id", "left_semi")
-    return wanted.select("id", "t").mapInArrow(run, "id long, set binary").groupBy("id").agg(F.min("set").alias("set"))
-
-
-def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The ``pairs(u, v)`` of ids whose texts' Jaccard similarity reaches ``similarity``."""
-
-    def run(batches):
-        for batch in sliced(batches):
-            ok = []
-            for a, b in rows_of([batch], "set", "other"):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both >= similarity * (len(x) + len(y) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
-
-    joined = pairs.join(sets.withColumnRenamed("id", "u"), "u").join(sets.select(F.col("id").alias("v"), F.col("set").alias("other")), "v")
-    return joined.select("u", "v", "set", "other").mapInArrow(run, "u long, v long")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], ["root", "id", "set"])
+
+    wanted = docs.select(F.col(id_col).cast("long").alias("id"), as_bytes(text_col).alias("t")).join(groups, "id")
+    return wanted.select("root", "id", "t").mapInArrow(run, SETS)
+
+
+def _alike(some: list[bytes], others: list[bytes], similarity: float) -> np.ndarray:
+    """Which of ``some`` sets have a Jaccard similarity of at least ``similarity`` with which of ``others``."""
+    x, y = ([np.frombuffer(s, np.uint64) for s in sets] for sets in (some, others))
+    n, m = (np.array([len(s) for s in sets], np.int64) for sets in (x, y))
+    both = np.zeros((len(x), len(y)), np.int64)
+    slices = 1 + int(m.sum()) // POSTINGS
+    edges = [k * ((1 << 64) // slices) for k in range(1, slices)]
+    for low, high in zip([0, *edges], [*edges, None], strict=True):
+        part = lambda s: s[np.searchsorted(s, np.uint64(low)) : None if high is None else np.searchsorted(s, np.uint64(high))]  # noqa: B023, E731
+        held = [part(s) for s in y]
+        of = np.repeat(np.arange(len(y)), [len(s) for s in held])
+        postings = np.concatenate(held or [np.zeros(0, np.uint64)])
+        order = np.argsort(postings, kind="stable")
+        postings, of = postings[order], of[order]
+        for i, s in enumerate(map(part, x)):
+            begin = np.searchsorted(postings, s)
+            sizes = np.searchsorted(postings, s, "right") - begin
+            at = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+            both[i] += np.bincount(of[at], minlength=len(y))
+    return both >= similarity * (n[:, None] + m[None, :] - both)
+
+
+def _settled(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """``(root, id, set, stays)`` of whole groups sorted by id: a row stays unless it is like one before it that stays."""
+
+    def rows():
+        for root, group in groupby(rows_of(sliced(batches), "root", "id", "set"), lambda r: r[0]):
+            ids, sets = zip(*((i, s) for _, i, s in group), strict=True)
+            alike, stays = _alike(sets, sets, similarity), np.zeros(len(ids), bool)
+            for k in range(len(ids)):
+                stays[k] = not (alike[k, :k] & stays[:k]).any()
+            yield from zip([root] * len(ids), ids, sets, stays.tolist(), strict=True)
+
+    made = rows()
+    while some := list(islice(made, 512)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), [pa.int64(), pa.int64(), pa.binary(), pa.bool_()], strict=True)], ["root", "id", "set", "stays"])
+
+
+def _unlike(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """``(root, id, set)`` of the rows that are like none of the firsts at the head of their chunk."""
+    for (root, _), chunk in groupby(rows_of(sliced(batches), "root", "chunk", "first", "id", "set"), lambda r: r[:2]):
+        firsts: list[bytes] = []
+        for first, rows in groupby(chunk, lambda r: r[2]):
+            if first:
+                firsts = [r[4] for r in rows]
+                continue
+            while some := list(islice(rows, 256)):
+                stays = ~_alike([r[4] for r in some], firsts, similarity).any(axis=1)
+                left = [r for r, ok in zip(some, stays.tolist(), strict=True) if ok]
+                yield pa.RecordBatch.from_arrays([pa.array([root] * len(left), pa.int64()), pa.array([r[3] for r in left], pa.int64()), pa.array([r[4] for r in left], pa.binary())], ["root", "id", "set"])
+
+
+def first_of_alike(members: DataFrame, similarity: float, group: int | None = None) -> DataFrame:
+    """``(id)`` of the ``members(root, id, set)`` that stay: those unlike every one of their root with a smaller id that stays.
+
+    The first ``group`` of each root settle among themselves in one task; what
+    is left of a larger root is dealt out in chunks as large, each compared
+    with those firsts that stay, and what is unlike them goes on to the next
+    round. So a round sends each set at most twice, and no pairs; ``group`` only sets
+    how the work is dealt out.
+    """
+    group = group or GROUP
+    stay = []
+    while True:
+        nth = F.row_number().over(Window.partitionBy("root").orderBy("id"))
+        firsts = members.withColumn("nth", nth).where(F.col("nth") <= group).select("root", "id", "set").sortWithinPartitions("root", "id")
+        done = cut(firsts.mapInArrow(lambda b: _settled(b, similarity), f"{SETS}, stays boolean"))
+        stay.append(done.where("stays").select("id"))
+        full = done.groupBy("root").agg(F.max("id").alias("last"), F.count("*").alias("n")).where(F.col("n") >= group).select("root", "last")
+        chunks = members.join(F.broadcast(full), "root").where(F.col("id") > F.col("last")).groupBy("root").agg(F.first("last").alias("last"), F.ceil(F.count("*") / F.lit(group)).cast("int").alias("chunks"))
+        large = cut(chunks)
+        if not large.limit(1).count():
+            return reduce(DataFrame.union, stay)
+        # One row for each ``group`` members at most, so these are few.
+        of_chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+        rest = members.join(F.broadcast(large), "root").where(F.col("id") > F.col("last")).select("root", of_chunk.alias("chunk"), F.lit(False).alias("first"), "id", "set")
+        every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+        heads = done.where("stays").join(F.broadcast(large), "root").select("root", every.alias("chunk"), F.lit(True).alias("first"), "id", "set")
+        dealt = rest.unionByName(heads).repartition("root", "chunk").sortWithinPartitions("root", "chunk", F.desc("first"), "id")
+        members = cut(dealt.mapInArrow(lambda b: _unlike(b, similarity), SETS))
 
 
 def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, seeds: int = 8, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -355,14 +424,10 @@ def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, seeds: i
 
     Candidates are linked by the trie self-join in any of ``seeds``
     fingerprints: one alone misses most pairs near the limit of similarity.
-    In each group the document with the smallest id stays, and those whose
-    shingles overlap with its by ``similarity`` go, checked exactly. Those
-    unlike it are linked anew, at the same budget, without the ones settled,
-    until no links are left: a document stays only if it is unlike every
-    candidate with a smaller id that stays. After ``STAR_ROUNDS`` rounds the
-    documents of each unit are compared with its first ones directly, four
-    times as many each round, so that many unlike documents that are all
-    candidates of each other take few rounds. Documents with the
+    Within each group of documents that links connect, all are compared by
+    their sets of shingles, exactly, whether linked directly or not: in the
+    order of ids, a document stays unless its shingles overlap by
+    ``similarity`` with those of one that stays. Documents with the
     same set of shingles are copies: the smallest id stays. Equal fingerprints
     alone only make candidates, for a shingle that is more than half of a text
     decides all of its fingerprints.
@@ -382,28 +447,11 @@ def one_of_each_group(docs: DataFrame, width: int = 5, budget: int = 6, seeds: i
         named = named.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(nth)
         fps = hashed(named)
     nodes = cut(fps.groupBy("digest").agg(F.min(F.struct("id", *names)).alias("m")).select("m.*"))
-    active, sets, gone = nodes, None, []
-    for step in count():
-        if step < STAR_ROUNDS:
-            group = connected_components(near_links(active, budget, columns=tuple(names), node="id"))
-            links = cut(group.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
-        else:
-            links = cut(near_links(active, budget, columns=tuple(names), node="id", firsts=4 ** (step - STAR_ROUNDS + 1)).distinct())
-        if not links.limit(1).count():
-            break
-        if sets is None:  # later rounds link no others
-            sets = cut(_shingle_sets(named, links.select(F.explode(F.array("u", "v")).alias("id")).distinct(), width, id_col, text_col))
-        like = cut(_alike(links.where("u <> v"), sets, similarity))
-        if step < STAR_ROUNDS:
-            waiting, goes = links.select("u"), like.select("u")
-        else:
-            waiting = cut(links.where("u = v").select("u").union(like.select("u")).distinct())
-            goes = like.join(waiting.select(F.col("u").alias("v")), "v", "left_anti").select("u")
-        gone.append(cut(goes.distinct().withColumnRenamed("u", "id")))
-        active = cut(active.join(waiting.withColumnRenamed("u", "id"), "id", "left_semi").join(gone[-1], "id", "left_anti"))
+    groups = cut(connected_components(near_links(nodes, budget, columns=tuple(names), node="id")).select("root", F.col("node").alias("id")))
     chosen = nodes.select("id")
-    if gone:
-        chosen = cut(chosen.join(reduce(DataFrame.union, gone), "id", "left_anti"))
+    if groups.limit(1).count():
+        members = cut(_shingle_sets(named, groups, width, id_col, text_col))
+        chosen = cut(chosen.join(groups, "id", "left_anti").union(first_of_alike(members, similarity)))
     kept = named.join(chosen.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col)), id_col, "left_semi")
     return kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 

@@ -148,6 +148,42 @@ def test_many_unlike_candidates_take_few_rounds(spark):
     assert edges == {(i, j) for i in range(80) for j in range(min(i, 4))} | {(i, i) for i in range(5, 80)}
 
 
+def test_a_crowd_of_unlike_candidates_makes_no_rows_for_pairs(spark, monkeypatch):
+    # All are candidates of each other; those in twos are near copies.
+    own = lambda i: " ".join(f"x{i}n{k}" for k in range(40))
+    docs = [(i, "bar " * 300 + own(i // 2) + (" end" if i % 2 else "") + " bar" * i) for i in range(160)]
+    rows = []
+
+    def counted(df, real=simhash.cut):
+        out = real(df)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "cut", counted)
+    monkeypatch.setattr(components, "cut", counted)
+    kept = simhash.one_of_each_group(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 160, 2))
+    assert max(rows) <= 3 * len(docs)
+
+
+@pytest.mark.parametrize(("group", "postings"), [(1000, 1 << 22), (7, 50)])
+def test_first_of_alike_against_greedy(spark, monkeypatch, group, postings):
+    monkeypatch.setattr(simhash, "POSTINGS", postings)
+    rng = random.Random(7)
+    sets = {0: set(), 1: {1 << 63}, 2: {(1 << 64) - 1, 0}}
+    for i in range(3, 40):
+        base = sets[rng.randrange(i)] or {rng.getrandbits(64) for _ in range(30)}
+        sets[i] = {x for x in base if rng.random() > 0.06} | {rng.getrandbits(64) for _ in range(rng.randrange(5))}
+    root = {i: i % 3 // 2 for i in sets}
+    rows = [(root[i], i, np.array(sorted(x), np.uint64).tobytes()) for i, x in sets.items()]
+    members = spark.createDataFrame(rows, simhash.SETS)
+    want = set()
+    for r in (0, 1):
+        want |= greedy({i: x for i, x in sets.items() if root[i] == r}, lambda i, j: True)
+    got = [r.id for r in simhash.first_of_alike(members, 0.8, group).collect()]
+    assert sorted(got) == sorted(want) and len(want) < len(sets) - 5
+
+
 def test_equal_fingerprints_of_unlike_texts_both_stay(spark):
     run = "bar " * 300
     unlike = [(i, run + " ".join(f"x{i}n{k}" for k in range(40))) for i in (1, 2, 3)]
