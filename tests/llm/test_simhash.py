@@ -172,8 +172,8 @@ def test_first_of_alike_against_greedy(spark, monkeypatch, group, postings):
     rng = random.Random(7)
     sets = {0: set(), 1: {1 << 63}, 2: {(1 << 64) - 1, 0}}
     for i in range(3, 40):
-        base = sets[rng.randrange(i)] or {rng.getrandbits(64) for _ in range(30)}
-        sets[i] = {x for x in base if rng.random() > 0.06} | {rng.getrandbits(64) for _ in range(rng.randrange(5))}
+        base = sets[rng.randrange(3, i)] if i > 3 else {rng.getrandbits(64) for _ in range(60)}
+        sets[i] = {x for x in base if rng.random() > 0.05} | {rng.getrandbits(64) for _ in range(rng.randrange(5))}
     root = {i: i % 3 // 2 for i in sets}
     rows = [(root[i], i, np.array(sorted(x), np.uint64).tobytes()) for i, x in sets.items()]
     members = spark.createDataFrame(rows, simhash.SETS)
